@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from surveyqc import SurveyOptions
 from surveyqc.operators import infer, prepare, reconcile
@@ -41,8 +42,15 @@ SPEC = PromptSpec(
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its schema is looked up once per path."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def survey(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,8 +60,11 @@ def survey(spark: SparkSession, sf: str) -> DataFrame:
     n_docs = documents.agg(F.count(F.lit(1))).scalar()
     key = F.col("o_orderkey")
     shift = F.when(key % 17 == 0, 1).otherwise(0)
+    # a row of keys becomes a row with a whole text: spread the keys before that
+    cores = spark.sparkContext.defaultParallelism
     return (
         table(spark, sf, "orders")
+        .repartition(cores, "o_orderkey")
         .select(
             F.col("o_custkey").alias("HOGAR"),
             (key % 2).alias("P201"),

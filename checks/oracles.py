@@ -324,7 +324,7 @@ FROM grp WHERE h % 10 <> 3""",
 cte(
     "words", [],
     f"""SELECT doc_id, text, list_transform(list_filter(string_split(
-       {squeeze('text')}, ' '), lambda w: w <> ''), lambda w: upper(w))[1:3] AS w FROM documents""",
+       {squeeze('text')}, ' '), lambda w: w <> ''), lambda w: upper(replace(w, 'ß', 'ss')))[1:3] AS w FROM documents""",
 )
 cte(
     "grams", ["words"],
@@ -485,10 +485,11 @@ cte(
 oracle("load_audit", ["lns"], "SELECT status, count(*) AS n FROM lns GROUP BY 1")
 oracle(
     "unreadable_lines", ["lns"],
-    """SELECT file, md5(t) AS pos_md5, substring(
-  CASE WHEN h % 37 = 5 THEN '{"id":null,"case_id":"' WHEN h % 6 = 4 THEN '{"case_id":"'
-       WHEN h % 6 = 5 THEN '{"id_observacion":"' ELSE '{"id":"' END || sent || '","observacion":' || to_json(t),
-  1, 100) AS contenido_parcial FROM lns WHERE status = 'bad_json'""",
+    """SELECT file, md5(t) AS pos_md5, substring(substring(line, 1, length(line) - 2), 1, 100) AS contenido_parcial
+FROM (SELECT *, CASE WHEN h % 37 = 5 THEN '{"id":null,"case_id":"' WHEN h % 6 = 4 THEN '{"case_id":"'
+        WHEN h % 6 = 5 THEN '{"id_observacion":"' ELSE '{"id":"' END || sent || '","observacion":' || to_json(t) ||
+        ',"razonamiento_modelo":"' || reasoning || ' Pasada ' || pass || '","raw_response":' || to_json(raw) || '}' AS line
+      FROM lns WHERE status = 'bad_json')""",
 )
 oracle(
     "id_normalize", ["lns"],
@@ -682,7 +683,7 @@ FROM parsed""",
 cte(
     "gw", ["grp"],
     f"""SELECT *, list_transform(list_filter(string_split({squeeze('t')}, ' '), lambda w: w <> ''),
-       lambda w: upper(w))[1:3] AS w FROM grp""",
+       lambda w: upper(replace(w, 'ß', 'ss')))[1:3] AS w FROM grp""",
 )
 cte(
     "gchosen", ["gw"],

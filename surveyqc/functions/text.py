@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,7 +24,29 @@ DIGIT_FREE_HEAD = 60
 VOWELS = "aeiouáéíóúü"
 SPANISH_LETTERS = "a-záéíóúüñ"
 
-_MARKS = rf"(?iuU)\b(?:(?:{'|'.join(DOTTED_MARKS)})\.?|{'|'.join(PLAIN_MARKS)})\b"
+
+def _not_latin1(excluded: Callable[[str], bool]) -> str:
+    """A class of all characters but the Latin-1 ones given.
+
+    Unicode-aware classes cost far more per character than this plain table. Patterns
+    put it first, as a coarse test that lets nearly every character fail at once, and
+    settle the rest with the exact class.
+    """
+    return "[^" + "".join(f"\\x{i:02x}" for i in range(256) if excluded(chr(i))) + "]"
+
+
+_MAYBE_SPACE = _not_latin1(lambda c: not c.isspace())
+_MAYBE_BREAK = _not_latin1(lambda c: c.isalnum() or c == "_")
+_MAYBE_MARK = _not_latin1(lambda c: c.upper() not in {m[0] for m in DOTTED_MARKS + PLAIN_MARKS})
+
+# a mark begins after a character that is no word character; several follow each other
+# directly only behind a dot
+_MARKS = (
+    rf"({_MAYBE_BREAK})(?={_MAYBE_MARK})"
+    rf"(?iuU:(?:\b(?:(?:{'|'.join(DOTTED_MARKS)})\.?|{'|'.join(PLAIN_MARKS)})\b)+)"
+)
+_RUNS = rf"(?={_MAYBE_SPACE}{_MAYBE_SPACE})(?U:{WS}{{2,}})"
+_RUNS_AND_ODD = rf"(?={_MAYBE_SPACE})(?U:{WS}{{2,}}|(?! ){WS})"
 
 
 def strip_ws(c: Column) -> Column:
@@ -32,7 +56,7 @@ def strip_ws(c: Column) -> Column:
 
 def collapse_ws(c: Column) -> Column:
     """Every whitespace run becomes one blank; both ends are trimmed."""
-    return strip_ws(F.regexp_replace(c, f"(?U){WS}+", " "))
+    return strip_ws(F.regexp_replace(c, _RUNS_AND_ODD, " "))
 
 
 def as_text(c: Column) -> Column:
@@ -45,9 +69,9 @@ def clean_text(c: Column) -> Column:
     t = as_text(c)
     head = F.regexp_replace(F.substring(t, 1, DIGIT_FREE_HEAD), r"(?U)\d", "")
     t = strip_ws(F.concat(head, F.substr(t, F.lit(DIGIT_FREE_HEAD + 1))))
-    t = F.regexp_replace(t, _MARKS, "")
-    t = F.regexp_replace(t, f"^[^{LETTERS}0-9]+", "")
-    return strip_ws(F.regexp_replace(t, f"(?U){WS}{{2,}}", " "))
+    t = F.regexp_replace(F.concat(F.lit(" "), t), _MARKS, "$1")
+    t = F.regexp_replace(t, f"^[^{LETTERS}0-9]+", "")  # takes the blank in front as well
+    return strip_ws(F.regexp_replace(t, _RUNS, " "))
 
 
 def passes_gate(cleaned: Column, min_chars: int = 21, min_words: int = 5) -> Column:
@@ -66,10 +90,13 @@ def passes_gate(cleaned: Column, min_chars: int = 21, min_words: int = 5) -> Col
 
 
 def opening_words(c: Column, max_words: int = 3) -> Column:
-    """The first words in upper case; the split stops after ``max_words``."""
-    words = F.split(strip_ws(as_text(c)), f"(?U){WS}+", max_words + 1)
-    words = F.slice(F.filter(words, lambda w: w != ""), 1, max_words)
-    return F.transform(words, lambda w: F.upper(w))
+    """The first words in upper case. The match ends with the last word wanted, so the
+    length of the narrative does not matter."""
+    word = r"[^\s\x1c-\x1f]+"
+    opening = rf"(?U)^{WS}*((?:{word}{WS}+){{0,{max_words - 1}}}{word})"
+    found = F.regexp_extract(as_text(c), opening, 1)
+    words = F.split(found, f"(?U){WS}+")
+    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.upper(w))
 
 
 def syllables(word: Column) -> Column:

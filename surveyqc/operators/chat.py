@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from surveyqc.functions import json as J
 from surveyqc.functions.codes import empty_codes, expected_codes
+from surveyqc.operators.once import with_once
 from surveyqc.operators.prepare import BASE_ID, CLEAN, CODES, ROW_IDS
 
 SYSTEM_TEXT = "P0P"  # fixed value: placeholder of the system message
@@ -39,7 +40,7 @@ def read_chat(lines: DataFrame, min_messages: int = 3) -> DataFrame:
     """Records from JSON lines; bad lines and records with too few messages are left out."""
     v = J.strict_variant(F.col("value"))
     return (
-        lines.withColumn("__v", v)
+        with_once(lines, __v=v)
         .filter(J.is_object(J.node(F.col("__v"))))
         .withColumn("messages", F.try_variant_get("__v", J.ROOT + ".messages", MESSAGES))
         .filter(F.size("messages") >= min_messages)
@@ -50,7 +51,7 @@ def read_chat(lines: DataFrame, min_messages: int = 3) -> DataFrame:
 
 def _with_lists(records: DataFrame) -> DataFrame:
     inner = J.strict_variant(F.get("messages", F.lit(2))["content"])
-    return records.withColumn("__lists", inner).withColumn(
+    return with_once(records, __lists=inner).withColumn(
         "__readable", J.is_object(J.node(F.col("__lists")))
     )
 

@@ -13,6 +13,7 @@ from surveyqc.functions import json as J
 from surveyqc.functions import responses as R
 from surveyqc.functions.codes import empty_codes, sorted_codes
 from surveyqc.functions.text import strip_ws
+from surveyqc.operators.once import with_once
 from surveyqc.operators.prompts import USER_HEAD, USER_TAIL, PromptSpec
 from surveyqc.sources.scratch import materialize
 
@@ -120,11 +121,11 @@ def parse_responses(
     t, v = F.col("__text"), F.col("__v")
     span = F.when(v.isNull(), R.embedded_object(t))
     return (
-        df.withColumn("__text", text)
-        .withColumn("__v", J.strict_variant(t))
+        with_once(df, __text=text)
+        .transform(lambda d: with_once(d, __v=J.strict_variant(t)))
         .withColumn("__span", F.nullif(span, F.lit("")))
         .withColumn("__e", J.strict_variant(F.col("__span")))
-        .withColumn("parsed", R.parse_response(t, v, F.col("__e")))
+        .transform(lambda d: with_once(d, parsed=R.parse_response(t, v, F.col("__e"))))
         .drop("__text", "__v", "__span", "__e")
     )
 

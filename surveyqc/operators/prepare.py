@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from surveyqc.functions import keys as K
 from surveyqc.functions import text as T
 from surveyqc.functions.codes import empty_codes
+from surveyqc.operators.once import with_once
 from surveyqc.options import COMPLEX, SurveyOptions, check_columns
 
 ROW_ID = "ID_DELITO_IA"
@@ -30,7 +31,7 @@ def with_keys(df: DataFrame, options: SurveyOptions) -> DataFrame:
 
 
 def with_clean_text(df: DataFrame, options: SurveyOptions) -> DataFrame:
-    return df.withColumn(CLEAN, T.clean_text(F.col(options.text_col)))
+    return with_once(df, **{CLEAN: T.clean_text(F.col(options.text_col))})
 
 
 def _gate(options: SurveyOptions):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from surveyqc.functions import json as J
 from surveyqc.functions import responses as R
 from surveyqc.functions.codes import empty_codes
+from surveyqc.operators.once import with_once
 from surveyqc.operators.prepare import BASE_ID, OBS_KEY, ROW_ID, ROW_IDS
 from surveyqc.operators.skew import salted_join
 
@@ -41,12 +42,8 @@ def load_records(lines: DataFrame) -> DataFrame:
         .when((shape == "STRING") & ~touches_id, NO_ID)
         .otherwise(OTHER)
     )
-    return (
-        lines.withColumn("__v", J.strict_variant(F.col("value")))
-        .withColumn("status", status)
-        .withColumn("id", F.when(F.col("status") == OK, J.text_of(found)))
-        .drop("__v")
-    )
+    judged = with_once(with_once(lines, __v=J.strict_variant(F.col("value"))), status=status)
+    return judged.withColumn("id", F.when(F.col("status") == OK, J.text_of(found))).drop("__v")
 
 
 def load_audit(loaded: DataFrame) -> DataFrame:
@@ -65,8 +62,7 @@ def records_of(loaded: DataFrame) -> DataFrame:
     """Fields of the readable records that have an id."""
     order = [c for c in loaded.columns if c not in ("value", "status", "id")]
     return (
-        loaded.filter(F.col("status") == OK)
-        .withColumn("__r", F.from_json("value", RECORD))
+        with_once(loaded.filter(F.col("status") == OK), __r=F.from_json("value", RECORD))
         .select("id", "__r.*", *order)
     )
 
@@ -95,8 +91,8 @@ def with_details(records: DataFrame) -> DataFrame:
     """Add ``details``: code → justification as read from the raw response."""
     raw = F.coalesce(F.col("raw_response"), F.lit(""))
     return (
-        records.withColumn("__v", J.strict_variant(raw))
-        .withColumn("details", R.detail_map(raw, F.col("__v")))
+        with_once(records, __v=J.strict_variant(raw))
+        .transform(lambda d: with_once(d, details=R.detail_map(raw, F.col("__v"))))
         .drop("__v")
     )
 
