@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,9 @@ from surveyqc.plans.full_run import run_review
 
 QUERIES = {}
 
+# the offline classifier travels to the executors with its code
+cloudpickle.register_pickle_by_value(I)
+
 
 def query(f):
     QUERIES[f.__name__] = f

@@ -54,20 +54,6 @@ def assign_batches(df: DataFrame, order: list[str], batch_size: int) -> DataFram
     )
 
 
-def _ask(model: Classifier, prompts: list[tuple[str, str]]) -> list:
-    """One answer or exception per prompt, whatever the model does."""
-    try:
-        answers = list(model(prompts))
-        if len(answers) == len(prompts):
-            return answers
-        problem: Exception = ValueError(f"{len(answers)} answers for {len(prompts)} prompts")
-    except Exception as e:
-        problem = e
-    if len(prompts) == 1:
-        return [problem]
-    return [a for p in prompts for a in _ask(model, [p])]
-
-
 def classify(
     cases: DataFrame,
     spec: PromptSpec,
@@ -84,7 +70,22 @@ def classify(
     which should identify a case. Answers cost money and need not repeat: write the
     result once and go on from the written table.
     """
-    system = spec.system_prompt()
+    system, head, tail = spec.system_prompt(), USER_HEAD, USER_TAIL
+
+    # everything the tasks need is local to this function and travels with it, so the
+    # library has to be installed on the driver only
+    def answers_of(prompts: list[tuple[str, str]]) -> list:
+        """One answer or exception per prompt, whatever the model does."""
+        try:
+            answers = list(model(prompts))
+            if len(answers) == len(prompts):
+                return answers
+            problem: Exception = ValueError(f"{len(answers)} answers for {len(prompts)} prompts")
+        except Exception as e:
+            problem = e
+        if len(prompts) == 1:
+            return [problem]
+        return [a for p in prompts for a in answers_of([p])]
 
     @F.pandas_udf(ANSWER)
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -92,8 +93,7 @@ def classify(
             rows = []
             for start in range(0, len(texts), call_size):
                 part = texts.iloc[start : start + call_size].fillna("")
-                prompts = [(system, USER_HEAD + t + USER_TAIL) for t in part]
-                for a in _ask(model, prompts):
+                for a in answers_of([(system, head + t + tail) for t in part]):
                     failed = not isinstance(a, str)
                     rows.append((None if failed else a, str(a) if failed else None,
                                  datetime.now().isoformat()))

@@ -1,0 +1,147 @@
+import json
+import re
+
+from pyspark.sql import functions as F
+
+from surveyqc.functions import codes as C
+from surveyqc.functions import json as J
+from surveyqc.functions import responses as R
+from surveyqc.operators import infer, reconcile, triage
+
+OK = '{"razonamiento":"r","clasificaciones":[{"codigo":"9","justificacion":"j"}]}'
+TWO = '{"razonamiento": "r", "clasificaciones": [{"codigo": "9", "justificacion": "ñ \\"x\\""}, {"codigo": 10, "justificacion": "b"}]}'
+
+
+def parsed(spark, texts, **kwargs):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw_response string")
+    out = infer.parse_responses(df, **kwargs).orderBy("i").collect()
+    return [(r.parsed.codes, r.parsed.reasoning, r.parsed.failed) for r in out]
+
+
+def details(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw_response string")
+    return [r.details for r in reconcile.with_details(df).orderBy("i").collect()]
+
+
+def classes(spark, pairs):
+    df = spark.createDataFrame(
+        [(i, *p) for i, p in enumerate(pairs)],
+        "i int, raw_response string, razonamiento_modelo string",
+    )
+    return [r.format_class for r in triage.with_format_class(df).orderBy("i").collect()]
+
+
+def is_json(text):
+    try:
+        json.loads(text)
+        return True
+    except ValueError:
+        return False
+
+
+def test_strict_json_at_every_cut(one):
+    texts = [TWO[:i] for i in range(len(TWO) + 1)] + [TWO[i:] for i in range(len(TWO))]
+    texts += [TWO[:i] + c + TWO[i:] for i in range(0, len(TWO), 3) for c in '{}[],:"1 x']
+    texts += ["1,2", '1,"x":2', "1],[2", '1},{"v":2', '1}x', "1]x", "null", "true", "5 ", " 5", "-",
+              '"a" "b"', "[]", "{}", "[1,]", '{"a":1,}', "01", "1.", "'a'", "﻿1", "// c\n1"]
+    got = one(lambda c: J.strict_variant(c).isNotNull(), texts)
+    assert [t for t, g in zip(texts, got) if g != is_json(t)] == []
+
+
+def test_parse_tiers(spark):
+    cases = {
+        OK: (["9"], "r", False),
+        "  " + OK + "\n": (["9"], "r", False),
+        OK.replace('"9"', "9"): (["9"], "r", False),
+        OK.replace('"9"', '""'): ([], "r", False),
+        OK.replace('"9"', "0"): ([], "r", False),
+        OK.replace('"9"', "null"): ([], "r", False),
+        OK.replace('"9"', '"0"'): (["0"], "r", False),
+        '{"razonamiento":"r","clasificaciones":[{"codigo":"9"},{"codigo":"10"},{"codigo":"9"},3,"x"]}':
+            (["10", "9", "9"], "r", False),
+        '{"clasificaciones":[]}': ([], R.NO_REASONING, False),
+        '{"razonamiento":null}': ([], None, False),
+        "Respuesta: " + OK: (["9"], "r", False),
+        OK + "x": (["9"], "r", False),
+        'a {"clasificaciones": [{"codigo":"2"}] } b': (["2"], R.PARTIAL_REASONING, False),
+        OK[:-3]: (["9"], R.REGEX_REASONING, False),
+        'x "codigo": "12" y "codigo":"9" z "codigo":"12"': (["12", "9"], R.REGEX_REASONING, False),
+        "": ([], R.UNREADABLE + "...", False),
+        "n" * 300: ([], R.UNREADABLE + "n" * 100 + "...", False),
+    }
+    assert parsed(spark, list(cases)) == list(cases.values())
+    for text in ("[]", "5", "null", '"x"', '[{"codigo":"9"}]', '{"clasificaciones":null}',
+                 '{"clasificaciones":3}'):
+        (codes, reasoning, failed), = parsed(spark, [text])
+        assert (codes, failed) == ([], True) and reasoning.startswith(R.FAILED)
+
+
+def test_bare_list_by_option(spark):
+    got = parsed(spark, ['[{"codigo":"9","justificacion":"j"}]', OK], accept_array=True)
+    assert got == [(["9"], R.NO_REASONING, False), (["9"], "r", False)]
+
+
+def test_detail_map(spark):
+    cases = {
+        OK: {"9": "j"},
+        OK.replace('"9"', "9"): {"9": "j"},
+        '{"clasificaciones":[{"codigo":"9","justificacion":"a"},{"codigo":9,"justificacion":"b"}]}':
+            {"9": "b"},
+        '{"clasificaciones":[{"codigo":"9"},{"codigo":"2","justificacion":null},7]}': {"2": None},
+        '{"razonamiento":"r","clasificaciones":[]}': {},
+        '{"razonamiento":"r"}': {},
+        "Respuesta: " + OK: {"9": "j"},
+        OK + "x": {"9": "j"},
+        '[{"codigo":"9","justificacion":"j"}]': {"9": "j"},
+        '{"razonamiento":"r","clasificaciones":[{"codigo": "9", "justificacion": "cut he':
+            {"9": "cut he [TRUNCADO]"},
+        "": {}, "5": {}, "null": {},
+        '{"clasificaciones":null}': {},
+    }
+    assert details(spark, list(cases)) == list(cases.values())
+
+
+def test_detail_map_at_every_cut(spark):
+    """Cut payloads: every complete block is found, the last one is marked if cut."""
+    items = [("9", "uno"), ("10", "dos {x"), ("11", "tres")]
+    blocks = ['{"codigo": "%s", "justificacion": "%s"}' % i for i in items]
+    whole = '{"razonamiento": "r", "clasificaciones": [' + ", ".join(blocks) + "]}"
+    cuts = [whole[:i] for i in range(1, len(whole))]
+    for text, got in zip(cuts, details(spark, cuts)):
+        for (code, why), block in zip(items, blocks):
+            if block in text:
+                assert got[code] == why
+        extra = {k: v for k, v in got.items() if v.endswith(R.TRUNCATED_MARK)}
+        assert len(extra) <= 1
+        started = re.search(r'\{"codigo": "(\d+)", "justificacion": "([^{]*)$', text)
+        if started and started.group(1) not in {c for c, b in zip(("9", "10", "11"), blocks) if b in text}:
+            assert extra == {started.group(1): started.group(2) + R.TRUNCATED_MARK}
+
+
+def test_format_classes(spark):
+    empty = '{"razonamiento":"r","clasificaciones":[]}'
+    pairs = [
+        (OK, "r"), (OK, "usa FallBack"), (OK[:-3], "fallback"), (OK[:-3], "r"), (empty, "r"),
+        (empty, "fallback"), ("", "r"), ("", "fallback"), (None, None), ("5", "r"),
+        ("null", "fallback"), ('[{"codigo":"9"}]', "r"), ('{"clasificaciones":"x"}', "r"),
+    ]
+    assert "".join(classes(spark, pairs)) == "ABCDDEDCDDEDA"
+
+
+def test_expected_codes(one):
+    texts = ['"9"', '" "', "5", '[9, 9.0, " 10 ", "", null, {"codigo": 2}, {"x": 1}]', "null",
+             "[true, -0.5, 12.7, 1e2]", "{}", '[{"codigo": " 7 "}, {"codigo": null}, ["1"]]']
+    got = one(lambda c: C.expected_codes(J.node(J.strict_variant(c))), texts)
+    assert got == [["9"], [], [], ["10", "2", "9"], [], ["0", "1", "100", "12"], [], ["7"]]
+
+
+def test_attempt_codes(one):
+    texts = [OK, '{"clasificaciones":[{"x":1},{"codigo":"10"},{"codigo":"9"}]}', "x", "[]", "{}",
+             '{"clasificaciones":[1]}']
+    got = one(lambda c: R.attempt_codes(J.strict_variant(c)), texts)
+    assert got == [["9"], ["10", "9", "N/A"], None, None, [], None]
+
+
+def test_sorted_codes(spark):
+    df = spark.createDataFrame([([" 9", "10", "9", "", None],), (None,)], "c array<string>")
+    assert [r[0] for r in df.select(C.sorted_codes(F.col("c"))).collect()] == [["10", "9"], []]
