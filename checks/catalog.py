@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from checks import inputs as I
 from surveyqc.functions import codes as C
@@ -90,7 +91,9 @@ def key_build(spark, sf) -> DataFrame:
         F.lit("").alias("OBS_400A"),
     )
     keyed = prepare.with_keys(line, I.OPTIONS)
-    return keyed.select("HOGAR", ROW_ID, BASE_ID, K.code_text(F.col("P424_ID")).alias("code"))
+    return keyed.select(
+        "HOGAR", ROW_ID, BASE_ID, K.code_text(F.col("P424_ID"), DoubleType()).alias("code")
+    )
 
 
 @query

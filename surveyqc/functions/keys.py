@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType, StringType
 
 MISSING_PART = "NULO"
 SEPARATOR = "-"
@@ -13,34 +14,53 @@ SEPARATOR = "-"
 _NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 
 
-def integer_part(c: Column, on_fractional: str = "error") -> Column:
-    """The value as a whole number: text that is no number gives null, whole floats
-    lose their fraction. Integers are tried first, as doubles lose ids above 2**53."""
-    s = c.cast("string")
-    as_double = F.when(F.regexp_like(s, F.lit(_NUMBER)), s.try_cast("double"))
-    whole = as_double.try_cast("bigint")
-    exact = as_double == F.floor(as_double)
+def as_number(c: Column) -> Column:
+    """Text as a double, null if it is no number. Spellings that only Java reads as
+    numbers (``1d``, ``NaN``) are none."""
+    return F.when(F.regexp_like(c, F.lit(_NUMBER)), c.try_cast("double"))
+
+
+def whole_number(number: Column, on_fractional: str = "error") -> Column:
+    """A double as bigint; a fraction raises or gives null, as do NaN and infinity."""
+    finite = ~F.isnan(number) & (F.abs(number) < F.lit(float(2**63)))
+    exact = finite & (number == F.floor(number))
+    whole = F.when(exact, number.try_cast("bigint"))
     if on_fractional == "null":
-        from_double = F.when(exact, whole)
-    else:
-        message = F.concat(F.lit("id part is not a whole number: "), s)
-        from_double = F.when(as_double.isNull() | exact, whole).otherwise(
-            F.raise_error(message).cast("bigint")
+        return whole
+    message = F.concat(F.lit("id part is not a whole number: "), number.cast("string"))
+    return F.when(finite & ~exact, F.raise_error(message).cast("bigint")).otherwise(whole)
+
+
+def integer_part(c: Column, kind: DataType, on_fractional: str = "error") -> Column:
+    """The value as a whole number, by the column's type. Text is read as an integer
+    first, as doubles lose ids above 2**53; text that is no number gives null."""
+    if isinstance(kind, IntegralType):
+        return c.cast("bigint")
+    if isinstance(kind, StringType):
+        return F.coalesce(
+            c.try_cast("bigint"), whole_number(as_number(c), on_fractional)
         )
-    return F.coalesce(s.try_cast("bigint"), from_double)
+    return whole_number(c.cast("double"), on_fractional)
 
 
-def code_text(c: Column) -> Column:
+def code_text(c: Column, kind: DataType) -> Column:
     """A category code as text: numeric, truncated to a whole number, else null."""
-    s = c.cast("string")
-    as_double = F.when(F.regexp_like(s, F.lit(_NUMBER)), s.try_cast("double"))
-    return F.coalesce(s.try_cast("bigint"), as_double.try_cast("bigint")).cast("string")
+    if isinstance(kind, IntegralType):
+        return c.cast("string")
+    if isinstance(kind, StringType):
+        whole = F.coalesce(c.try_cast("bigint"), as_number(c).try_cast("bigint"))
+        return whole.cast("string")
+    number = c.cast("double")
+    return F.when(~F.isnan(number), number.try_cast("bigint")).cast("string")
 
 
-def row_key(parts: Sequence[Column], on_fractional: str = "error") -> Column:
+def row_key(df: DataFrame, parts: Sequence[str], on_fractional: str = "error") -> Column:
     """Parts joined by ``-``; a missing part shows as ``NULO``."""
     texts = [
-        F.coalesce(integer_part(p, on_fractional).cast("string"), F.lit(MISSING_PART))
+        F.coalesce(
+            integer_part(F.col(p), df.schema[p].dataType, on_fractional).cast("string"),
+            F.lit(MISSING_PART),
+        )
         for p in parts
     ]
     return F.concat_ws(SEPARATOR, *texts)

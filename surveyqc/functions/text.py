@@ -14,6 +14,7 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 WS = r"[\s\x1c-\x1f]"  # to be used under (?U)
+WORD = r"[\p{L}\p{N}_]"  # no combining marks, but all kinds of digits
 
 # Questionnaire marks that interviewers type into the narrative
 DOTTED_MARKS = ("P", "PREG", "PGR", "PRG")
@@ -39,11 +40,12 @@ _MAYBE_SPACE = _not_latin1(lambda c: not c.isspace())
 _MAYBE_BREAK = _not_latin1(lambda c: c.isalnum() or c == "_")
 _MAYBE_MARK = _not_latin1(lambda c: c.upper() not in {m[0] for m in DOTTED_MARKS + PLAIN_MARKS})
 
-# a mark begins after a character that is no word character; several follow each other
-# directly only behind a dot
+# a mark is a whole word; it takes a dot along if a word follows at once, and only there
+# can the next mark follow without a character in between
 _MARKS = (
-    rf"({_MAYBE_BREAK})(?={_MAYBE_MARK})"
-    rf"(?iuU:(?:\b(?:(?:{'|'.join(DOTTED_MARKS)})\.?|{'|'.join(PLAIN_MARKS)})\b)+)"
+    rf"({_MAYBE_BREAK})(?={_MAYBE_MARK})(?iu:(?:(?<!{WORD})(?:"
+    rf"(?:{'|'.join(DOTTED_MARKS)})(?:\.(?={WORD})|(?!{WORD}))"
+    rf"|(?:{'|'.join(PLAIN_MARKS)})(?!{WORD})))+)"
 )
 _RUNS = rf"(?={_MAYBE_SPACE}{_MAYBE_SPACE})(?U:{WS}{{2,}})"
 _RUNS_AND_ODD = rf"(?={_MAYBE_SPACE})(?U:{WS}{{2,}}|(?! ){WS})"

@@ -17,6 +17,7 @@ CLEAN = "observacion_limpia"
 CODES = "codigos_delito"
 ROW_IDS = "ids_delito_originales"
 OBS_KEY = "obs_key"
+PASSED = "valida"
 
 
 def with_keys(df: DataFrame, options: SurveyOptions) -> DataFrame:
@@ -24,8 +25,9 @@ def with_keys(df: DataFrame, options: SurveyOptions) -> DataFrame:
     columns stay as they are."""
     check_columns(df, options.required_columns)
     if options.mode == COMPLEX:
-        row_id = K.row_key([F.col(c) for c in options.id_components], options.on_fractional)
-        return df.withColumn(ROW_ID, row_id).withColumn(BASE_ID, K.base_key(F.col(ROW_ID)))
+        row_id = K.row_key(df, options.id_components, options.on_fractional)
+        keyed = with_once(df, **{ROW_ID: row_id})
+        return keyed.withColumn(BASE_ID, K.base_key(F.col(ROW_ID)))
     same = F.col(options.id_col).cast("string")
     return df.withColumn(ROW_ID, same).withColumn(BASE_ID, same)
 
@@ -34,10 +36,24 @@ def with_clean_text(df: DataFrame, options: SurveyOptions) -> DataFrame:
     return with_once(df, **{CLEAN: T.clean_text(F.col(options.text_col))})
 
 
+def _code(df: DataFrame, options: SurveyOptions):
+    return K.code_text(F.col(options.code_col), df.schema[options.code_col].dataType)
+
+
 def _gate(options: SurveyOptions):
     return T.passes_gate(F.col(CLEAN), options.min_chars, options.min_words)
 
 
+def prepared_rows(df: DataFrame, options: SurveyOptions) -> DataFrame:
+    """What later steps need of each raw row, to be written once: keys, code, cleaned
+    text, gate outcome, and the original text of rejected rows only."""
+    cleaned = with_obs_key(with_clean_text(with_keys(df, options), options))
+    judged = with_once(cleaned, **{PASSED: _gate(options)})
+    original = F.when(~F.col(PASSED), F.col(options.text_col)).alias(options.text_col)
+    code = [options.code_col] if options.code_col else []
+    return judged.select(ROW_ID, BASE_ID, OBS_KEY, CLEAN, PASSED, *code, original)
+
+
 def valid_rows(df: DataFrame, options: SurveyOptions) -> DataFrame:
     return df.filter(_gate(options))
 
@@ -61,7 +77,7 @@ def group_observations(valid: DataFrame, options: SurveyOptions) -> DataFrame:
     if options.mode != COMPLEX:
         return simple_records(valid, options)
     return valid.groupBy(BASE_ID, CLEAN).agg(
-        F.array_sort(F.collect_set(K.code_text(F.col(options.code_col)))).alias(CODES),
+        F.array_sort(F.collect_set(_code(valid, options))).alias(CODES),
         F.array_sort(F.collect_set(ROW_ID)).alias(ROW_IDS),
     )
 
@@ -70,7 +86,7 @@ def simple_records(valid: DataFrame, options: SurveyOptions) -> DataFrame:
     """One record per row: at most one code, the id as only row id."""
     codes = empty_codes()
     if options.code_col is not None:
-        code = K.code_text(F.col(options.code_col))
+        code = _code(valid, options)
         codes = F.when(code.isNull(), empty_codes()).otherwise(F.array(code))
     return valid.select(
         BASE_ID, CLEAN, codes.alias(CODES), F.array(F.col(ROW_ID)).alias(ROW_IDS)
@@ -79,6 +95,8 @@ def simple_records(valid: DataFrame, options: SurveyOptions) -> DataFrame:
 
 def with_obs_key(df: DataFrame) -> DataFrame:
     """Add a narrow key of the narrative, for joins that need not carry the text."""
+    if OBS_KEY in df.columns:
+        return df
     return df.withColumn(OBS_KEY, F.sha2(F.col(CLEAN), 256))
 
 
@@ -87,7 +105,7 @@ def group_codes(valid: DataFrame, options: SurveyOptions) -> DataFrame:
     if options.mode != COMPLEX:
         return simple_records(valid, options).drop(ROW_IDS)
     return valid.groupBy(BASE_ID, CLEAN).agg(
-        F.array_sort(F.collect_set(K.code_text(F.col(options.code_col)))).alias(CODES)
+        F.array_sort(F.collect_set(_code(valid, options))).alias(CODES)
     )
 
 

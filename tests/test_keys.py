@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from surveyqc.functions import keys as K
 from surveyqc.operators import prepare
@@ -17,26 +18,29 @@ ROWS = [
 
 def test_row_and_base_key(spark):
     df = spark.createDataFrame([r[0] for r in ROWS], "a string, b string, c string, d string")
-    key = K.row_key([F.col(c) for c in "abcd"])
+    key = K.row_key(df, "abcd")
     got = df.select(key.alias("k")).withColumn("b", K.base_key(F.col("k"))).collect()
     assert {(r.k, r.b) for r in got} == {(r[1], r[2]) for r in ROWS}
 
 
 def test_doubles_and_integers(spark):
-    df = spark.createDataFrame([(1, 2.0), (None, None)], "a bigint, b double")
-    got = [r[0] for r in df.select(K.row_key([F.col("a"), F.col("b")])).collect()]
-    assert sorted(got) == ["1-2", "NULO-NULO"]
+    df = spark.createDataFrame([(1, 2.0), (None, None), (2, float("nan"))], "a bigint, b double")
+    got = [r[0] for r in df.select(K.row_key(df, ["a", "b"])).collect()]
+    assert sorted(got) == ["1-2", "2-NULO", "NULO-NULO"]
 
 
 def test_fraction_raises_or_is_missing(spark):
     df = spark.createDataFrame([("1.5",)], "a string")
-    with pytest.raises(Exception, match="not a whole number"):
-        df.select(K.integer_part(F.col("a"))).collect()
-    assert df.select(K.integer_part(F.col("a"), "null")).first()[0] is None
+    number = df.select(F.col("a").cast("double"))
+    for d in (df, number):
+        kind = d.schema["a"].dataType
+        with pytest.raises(Exception, match="not a whole number"):
+            d.select(K.integer_part(F.col("a"), kind)).collect()
+        assert d.select(K.integer_part(F.col("a"), kind, "null")).first()[0] is None
 
 
 def test_code_text(one):
-    got = one(K.code_text, ["9", "9.7", " 10 ", "x", None, "-3.2", "1e3"])
+    got = one(lambda c: K.code_text(c, StringType()), ["9", "9.7", " 10 ", "x", None, "-3.2", "1e3"])
     assert got == ["9", "9", "10", None, None, "-3", "1000"]
 
 

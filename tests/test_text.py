@@ -46,7 +46,7 @@ def test_clean_text_agrees_with_unicode_rules(one):
         return re.sub(r"\s{2,}", " ", s).strip()
 
     rng = random.Random(7)
-    pieces = list("PpIiaé.,_-1٣ \t\n\x1c ā²…") + [
+    pieces = list("PpIiaé.,_-1٣ \t\n\x1c ā²Ⅷ…\u0301") + [
         "ITEM", "preg.", "PGR", "capítulo", "alternativa", "pgta ", " i ", "P. ", "  ", "😀",
     ]
     texts = ["".join(rng.choices(pieces, k=rng.randint(1, 40))) for _ in range(3000)]
