@@ -40,6 +40,9 @@ class SurveyOptions:
     # "id": of several narratives under one base key the last one (by text order) is reviewed;
     # "id_text": every narrative is reviewed on its own
     result_key: str = "id"
+    # a join key is spread over several tasks from this many rows on, if it also has more
+    # than a fair share of all rows
+    hot_key_rows: int = 1_000_000
     # read a bare JSON array of classifications as a valid response
     accept_array: bool = False
 

@@ -130,6 +130,31 @@ def test_model_is_asked_once_per_case(spark, tmp_path):
     assert len(open(log).read()) == 3
 
 
+def test_run_with_a_hot_household(spark):
+    """A third of all rows in one household, and as many under one row id."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id")).alias("HOGAR"),
+        F.lit(1).alias("P201"),
+        F.when(F.col("id") % 3 == 0, 2).otherwise(1).alias("ID"),
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 900).alias("P424_ID"),
+        F.when(F.col("id") % 2 == 0, NARRATIVES[0]).otherwise(NARRATIVES[1]).alias("OBS_400A"),
+    )
+    plain = run_review(rows, SurveyOptions(result_key="id_text"), I.SPEC, echo_model)
+    spread = run_review(
+        rows, SurveyOptions(result_key="id_text", hot_key_rows=20), I.SPEC, echo_model
+    )
+    assert "__salts" in plan(spread.merged)
+    a, b = plain.merged, spread.merged
+    assert a.count() == b.count() >= 3000
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_every_query_has_its_sql():
+    import __spark_entry__ as entry
+
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
 PYTHON_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
 
