@@ -143,6 +143,14 @@ def group_example(spark, sf) -> DataFrame:
     return prepare.group_example(I.valid(spark, sf), I.OPTIONS)
 
 
+@query
+def group_example_after(spark, sf) -> DataFrame:
+    rows = prepare.group_example(I.valid(spark, sf), I.OPTIONS)
+    return prepare.group_observations(rows, I.OPTIONS).select(
+        BASE_ID, joined(CODES).alias("codes"), joined(ROW_IDS).alias("ids"), CLEAN
+    )
+
+
 # ---- chat records ------------------------------------------------------------------
 
 
@@ -194,6 +202,20 @@ def chat_reference(spark, sf) -> DataFrame:
     return ids.select("id", F.size(ROW_IDS).alias("n_ids"), joined(ROW_IDS).alias("ids"))
 
 
+@query
+def chat_clean(spark, sf) -> DataFrame:
+    """Prefixes mined over the user messages and removed inside the records."""
+    records = chat.build_chat(I.groups(spark, sf))
+    texts = records.select(F.col("messages")[1]["content"].alias("text"))
+    patterns = prefixes.collect_prefixes(prefixes.prefix_counts(texts, "text"), I.OPTIONS)
+    cleaned = chat.replace_user_text(records, lambda c: prefixes.remove_prefixes(c, patterns))
+    m = F.col("messages")
+    return cleaned.select(
+        "id", F.md5(m[1]["content"]).alias("user_md5"), m[0]["content"].alias("system"),
+        F.size(m).alias("n_messages"),
+    )
+
+
 # ---- prefixes ----------------------------------------------------------------------
 
 
@@ -326,6 +348,11 @@ def parse_response(spark, sf) -> DataFrame:
     )
 
 
+@query
+def case_totals(spark, sf) -> DataFrame:
+    return infer.case_totals(I.groups(spark, sf))
+
+
 @query
 def batch_stats(spark, sf) -> DataFrame:
     batched = I.records(spark, sf).withColumn("batch_id", F.col("h") % 12 + 1)
@@ -614,11 +641,20 @@ def merge_simple(spark, sf) -> DataFrame:
     return merge.merge_simple(orders, reviewed, "ID", order=["id", "observacion"])
 
 
+def _partly_unknown(spark, sf) -> DataFrame:
+    """A review of which some ids are unknown to the original."""
+    foreign = F.concat(ROW_ID, F.when(F.col("DELITO_ESPERADO") == "7", "-X").otherwise(""))
+    return _review(spark, sf).withColumn(ROW_ID, foreign)
+
+
+@query
+def merge_unknown_ids(spark, sf) -> DataFrame:
+    return merge.ids_not_in_original(_partly_unknown(spark, sf), _keyed(spark, sf))
+
+
 @query
 def merge_stats(spark, sf) -> DataFrame:
-    """Some review ids are unknown to the original."""
-    foreign = F.concat(ROW_ID, F.when(F.col("DELITO_ESPERADO") == "7", "-X").otherwise(""))
-    reviewed = _review(spark, sf).withColumn(ROW_ID, foreign)
+    reviewed = _partly_unknown(spark, sf)
     original = _keyed(spark, sf)
     stats = merge.merge_stats(merge.merge_review(original, reviewed), reviewed, original)
     for c in ("match_rate", "coverage", "analysis_coverage"):

@@ -301,6 +301,13 @@ FROM valid WHERE base = (SELECT base FROM valid GROUP BY base HAVING count(*) >
                          ORDER BY count(*) DESC, base LIMIT 1)""",
 )
 
+oracle(
+    "group_example_after", ["valid", "grp"],
+    f"""SELECT base AS ID_BASE, {LISTS}, t AS observacion_limpia
+FROM grp WHERE base = (SELECT base FROM valid GROUP BY base HAVING count(*) > 1
+                       ORDER BY count(*) DESC, base LIMIT 1)""",
+)
+
 # ---- chat records ------------------------------------------------------------------
 
 oracle(
@@ -457,6 +464,10 @@ oracle(
     """SELECT id, md5(t) AS text_md5, array_to_string(found, ',') AS codes, said AS reasoning, failed
 FROM parsed""",
 )
+oracle(
+    "case_totals", ["grp"],
+    "SELECT count(*) AS cases, CAST(sum(len(ids)) AS BIGINT) AS original_rows FROM grp",
+)
 oracle(
     "batch_stats", ["parsed"],
     """SELECT h % 12 + 1 AS batch_id, count(*) AS cases, CAST(sum(len(ids)) AS BIGINT) AS original_rows,
@@ -626,6 +637,10 @@ LEFT JOIN (SELECT h, r.reasoning FROM answers a JOIN rsn r ON a.id = r.id AND a.
            QUALIFY row_number() OVER (PARTITION BY h ORDER BY a.id DESC, a.t DESC) = 1) l
   ON o.o_custkey = l.h""",
 )
+oracle(
+    "merge_unknown_ids", ["rev"],
+    """SELECT DISTINCT ID_DELITO_IA || '-X' AS ID_DELITO_IA FROM rev WHERE DELITO_ESPERADO = '7'""",
+)
 oracle(
     "merge_stats", ["keyed", "rev"],
     """SELECT total_rows, analysis_total, records_with_analysis, successful_matches,
@@ -698,6 +713,14 @@ cte(
     "gordered", ["gchosen"],
     "SELECT coalesce(list(phrase ORDER BY n DESC, cnt DESC, phrase), CAST([] AS VARCHAR[])) AS ps FROM gchosen",
 )
+oracle(
+    "chat_clean", ["grp", "gordered"],
+    f"""SELECT base AS id, md5(upper(substring(r, 1, 1)) || substring(r, 2)) AS user_md5, 'P0P' AS system,
+  3 AS n_messages
+FROM (SELECT base, CASE WHEN len(ps) = 0 THEN s ELSE list_reduce(ps[2:],
+        lambda acc, p: {drop_prefix('acc', 'p')}, {squeeze(drop_prefix('s', 'ps[1]'))}) END AS r
+      FROM (SELECT base, ps, t AS s FROM grp, gordered))""",
+)
 cte(
     "asked", ["grp", "gordered"],
     f"""SELECT base, t, codes, ids, length({lit(USER_HEAD)} || upper(substring(r, 1, 1)) || substring(r, 2) || {lit(USER_TAIL)}) AS n

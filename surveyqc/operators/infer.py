@@ -159,6 +159,14 @@ def to_records(answered: DataFrame, accept_array: bool = False) -> DataFrame:
     )
 
 
+def case_totals(cases: DataFrame) -> DataFrame:
+    """Cases to classify and the original rows behind them."""
+    return cases.agg(
+        F.count(F.lit(1)).alias("cases"),
+        F.coalesce(F.sum(F.size("ids_delito_originales")), F.lit(0)).alias("original_rows"),
+    )
+
+
 def batch_stats(records: DataFrame) -> DataFrame:
     """Cases, original rows and errors per batch."""
     return records.groupBy("batch_id").agg(

@@ -143,7 +143,7 @@ def inconsistent_keys(valid: DataFrame) -> DataFrame:
 
 def group_example(valid: DataFrame, options: SurveyOptions) -> DataFrame:
     """All valid rows of the most frequent base key (ties: smallest key), if any key
-    has more than one row."""
+    has more than one row; :func:`group_observations` of them shows what they become."""
     top = (
         valid.groupBy(BASE_ID)
         .agg(F.count(F.lit(1)).alias("__n"))
