@@ -186,8 +186,9 @@ def unified(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reference(spark: SparkSession, sf: str) -> DataFrame:
-    """Row ids per id, taken from the last group per id."""
-    cases = groups(spark, sf).select(F.col(BASE_ID).alias("id"), CLEAN, ROW_IDS)
+    """Row ids per id, taken from the last group per id. The codes are kept up to there,
+    so that the grouping is the same as that of the records and is shuffled once."""
+    cases = groups(spark, sf).withColumnRenamed(BASE_ID, "id")
     return reconcile.last_wins(cases, ["id"], [CLEAN]).select("id", ROW_IDS)
 
 
