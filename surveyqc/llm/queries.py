@@ -7,11 +7,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyqc.llm.bpe import bpe_round_trip
+from surveyqc.llm.classifier import quality_scores
 from surveyqc.llm.common import table
 from surveyqc.llm.decontaminate import decontaminate
 from surveyqc.llm.near_dedup import near_duplicates
 from surveyqc.llm.personal import personal_data
 from surveyqc.llm.quality import quality_rules
+from surveyqc.llm.records import record_round_trip
+from surveyqc.llm.secret_scan import find_secrets
+from surveyqc.llm.sharding import hilbert_shards
+from surveyqc.llm.urls import filter_urls
 
 QUERIES = {}
 ORACLES = {}
@@ -63,3 +68,43 @@ def op4_personal_data(spark, sf: str) -> DataFrame:
 def encode_documents(docs: DataFrame) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe_round_trip(docs, path, public_tokenizers.PATTERN)
+
+
+#: Names of sites whose pages are listed.
+LISTED_SITES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+def listed_pages(spark, sf: str) -> DataFrame:
+    """URLs of all pages of the listed sites."""
+    pages = table(spark, sf, "pages").select("url")
+    return pages.filter(F.col("url").rlike(r"://(?:[^/?#]*\.)?(?:" + "|".join(LISTED_SITES) + r")\.[^/?#]*"))
+
+
+@query
+def op5_records(spark, sf: str) -> DataFrame:
+    return record_round_trip(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_sharding(spark, sf: str) -> DataFrame:
+    return hilbert_shards(table(spark, sf, "documents"))
+
+
+@query
+def op7_url_filter(spark, sf: str) -> DataFrame:
+    judged = filter_urls(table(spark, sf, "pages"), listed_pages(spark, sf))
+    return judged.drop("listed")
+
+
+@query
+def op8_quality_classifier(spark, sf: str) -> DataFrame:
+    doc_id = F.col("doc_id")
+    calibrate = F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1
+    return quality_scores(
+        table(spark, sf, "documents"), table(spark, sf, "labels"), calibrate, held_out(doc_id))
+
+
+@query
+def op9_secrets(spark, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return find_secrets(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
