@@ -18,11 +18,11 @@ from surveyqc.operators.once import with_once
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 
-#: The model is one float per bucket, 1 MB, whatever the corpus.
-BUCKETS = 1 << 18
+#: The model is one float per bucket, 256 KB, whatever the corpus. A power of two.
+BUCKETS = 1 << 16
 #: Added to both counts of a bucket, so that rare n-grams say little.
 SMOOTHING = 5.0
-THRESHOLD = -0.1
+THRESHOLD = -0.12
 #: Most trusted rows that are used, those with the smallest hash of their id: what is
 #: broadcast is at most this many ids.
 TRUSTED_ROWS = 200_000
@@ -31,7 +31,16 @@ _POSITION = (1 << 31) - 1
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
+
+
+def hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _next(i: Column, step: int) -> Column:
+    """The hash of the word ``step`` places on, with its bits moved so that order counts."""
+    return F.call_function("shiftrightunsigned", F.get(F.col("__hashes"), i + step), F.lit(13 * step))
 
 
 def _same(array: str, i: Column, key) -> Column:
@@ -42,7 +51,7 @@ def _same(array: str, i: Column, key) -> Column:
 
 
 def with_statistics(df: DataFrame, text: Column) -> DataFrame:
-    """Adds __words, n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
+    """Adds __hashes, n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
 
     Repeated windows are found inside a row: hashes of all three-word windows are sorted
     with their positions in the low bits, those that have an equal neighbour are compared
@@ -54,11 +63,13 @@ def with_statistics(df: DataFrame, text: Column) -> DataFrame:
         df, __words=words(text), __lines=lines,
         n_symbols=(F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long"),
     )
+    df = with_once(df, __hashes=hashes(F.col("__words")))
     n = F.size("__words")
     at = lambda i, k: F.get(F.col("__words"), i + k)
+    mixed = lambda h, i: h.bitwiseXOR(_next(i, 1)).bitwiseXOR(_next(i, 2))
     hashed = F.transform(
-        F.sequence(F.lit(0), n - 3),
-        lambda i: F.shiftleft(F.xxhash64(at(i, 0), at(i, 1), at(i, 2)), 31).bitwiseOR(i.cast("long")),
+        F.slice("__hashes", F.lit(1), n - 2),
+        lambda h, i: F.shiftleft(mixed(h, i), 31).bitwiseOR(i.cast("long")),
     )
     df = with_once(
         df, n_words=n.cast("long"),
@@ -78,18 +89,13 @@ def with_statistics(df: DataFrame, text: Column) -> DataFrame:
         starts, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda s, p: F.struct((s["n"] + p + 3 - F.greatest(p, s["end"])).alias("n"), (p + 3).alias("end")),
     )
-    return with_once(df, n_repeat_words=covered["n"].cast("long")).drop("__texts")
+    return with_once(df, n_repeat_words=covered["n"].cast("long")).drop("__texts", "__words")
 
 
-def buckets(count: int) -> Column:
-    """Bucket of every word and of every two neighbouring words of __words."""
-    word = lambda i: F.get(F.col("__words"), i)
-    single = F.transform(F.col("__words"), lambda w: F.pmod(F.xxhash64(w), F.lit(count)).cast("int"))
-    n = F.size("__words")
-    double = F.transform(
-        F.sequence(F.lit(0), n - 2), lambda i: F.pmod(F.xxhash64(word(i), word(i + 1)), F.lit(count)).cast("int")
-    )
-    return F.concat(single, F.when(n >= 2, double).otherwise(F.array().cast("array<int>")))
+def _buckets(h: Column, i: Column, count: int) -> tuple[Column, Column]:
+    """Bucket of a word, and of it and the next word; null for the second at the end."""
+    own = lambda x: x.bitwiseAND(F.lit(count - 1).cast("long")).cast("int")
+    return own(h), own(h.bitwiseXOR(_next(i, 1)))
 
 
 def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, count: int) -> DataFrame:
@@ -101,11 +107,14 @@ def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, coun
         trusted.select(F.col(id_col).cast("long").alias("__id")).filter("__id is not null").distinct()
         .orderBy(F.xxhash64("__id"), "__id").limit(TRUSTED_ROWS).withColumn("__trusted", F.lit(1))
     )
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), words(F.col(text_col)).alias("__words"))
+    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
     rows = rows.join(F.broadcast(ids), "__id", "left")
+    rows = with_once(rows, __hashes=hashes(words(F.col("__text"))))
+    single = F.transform("__hashes", lambda h, i: _buckets(h, i, count)[0])
+    double = F.transform("__hashes", lambda h, i: _buckets(h, i, count)[1])
     counts = (
-        rows.select("__trusted", F.explode(buckets(count)).alias("b"))
-        .groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("__trusted").alias("good"))
+        rows.select("__trusted", F.explode(F.concat(single, double)).alias("b"))
+        .filter("b is not null").groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("__trusted").alias("good"))
     )
     every = docs.sparkSession.range(count).select(F.col("id").cast("int").alias("b"))
     full = every.join(counts, "b", "left").select(
@@ -141,9 +150,14 @@ def quality_rules(
     given = [F.col(f"`{c}`") for c in docs.columns] if keep_columns else [own]
     df = with_statistics(docs.select(F.struct(*given).alias("__row"), F.col(text_col).alias("__text")), F.col("__text")).drop("__text")
     model = ratios(docs, trusted, id_col, text_col, count).scalar()
-    total = F.aggregate(buckets(count), F.lit(0.0), lambda s, b: s + F.get(F.col("__model"), b))
+
+    def ratio(h: Column, i: Column) -> Column:
+        single, double = (F.get(F.col("__model"), b) for b in _buckets(h, i, count))
+        return single + F.coalesce(double, F.lit(0.0))
+
+    total = F.aggregate(F.transform("__hashes", ratio), F.lit(0.0), lambda s, x: s + x)
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    df = df.withColumn("__model", model).withColumn("__score", total / grams).drop("__words", "__model")
+    df = df.withColumn("__model", model).withColumn("__score", total / grams).drop("__hashes", "__model")
     df = with_once(df, score=F.col("__score"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     names = docs.columns if keep_columns else ["doc_id"]
