@@ -23,14 +23,16 @@ from pyspark.sql import functions as F
 from surveyqc.llm.common import map_text, texts_of, worker_cache
 
 #: Entries of each of the two generations of a worker's table of encoded units.
-UNIT_CACHE = 300_000
+UNIT_CACHE = 400_000
 CACHED_CHARS = 64
 #: Bytes of pre-tokens that are merged in one queue, unless one has more.
 QUEUE_BYTES = 1 << 18
 
-#: Two white-space characters in a row of which one is a space: only then can a cut in
-#: front of a space part a run of white space.
-_RUN = regex.compile(r" \s|\s |\0")
+#: White space besides space and line feed, and the mark that units are cut at.
+_OTHER_SPACE = "\0\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B)))
+#: A cut in front of a space could part these.
+_RUNS = ("  ", " \n", "\n ")
 
 
 def vocabulary_lines(spark: SparkSession, path: str) -> list[str]:
@@ -186,13 +188,13 @@ class UnitTable:
     def units(self, text: str) -> list[str]:
         """Parts that can be encoded on their own.
 
-        No pre-token has white space behind other characters, so where no two white-space
-        characters meet, a cut in front of a space parts no pre-token and changes no
-        look-ahead. Other texts are cut into pre-tokens.
+        No pre-token has white space behind other characters, so where no space meets
+        other white space, a cut in front of a space parts no pre-token and changes no
+        look-ahead. Other texts are given to ``split``.
         """
         if not text:
             return []
-        if _RUN.search(text) or text[0] == " " or text[-1] == " ":
+        if text[0] == " " or text[-1] == " " or any(x in text for x in _RUNS) or any(x in text for x in _OTHER_SPACE):
             return self.split(text)
         return text.replace(" ", "\0 ").split("\0")
 
@@ -207,8 +209,10 @@ class UnitTable:
         missing = list(missing.difference(kept))
         new = {u: np.array(ids, "<u4").tobytes() for u, ids in zip(missing, self.encode_all(missing))}
         self.young.update((u, b) for u, b in new.items() if len(u) <= CACHED_CHARS)
-        young = self.young
-        return [b"".join([young[u] if u in young else new[u] for u in units]) for units in parts]
+        known = self.young
+        if any(len(u) > CACHED_CHARS for u in new):
+            known = {**known, **new}
+        return [b"".join(map(known.__getitem__, units)) for units in parts]
 
 
 def encoder(lines: list[str], pattern: str, key: str) -> tuple[BytePairEncoder, UnitTable]:
