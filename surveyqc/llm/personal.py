@@ -258,48 +258,49 @@ def _written(spans: Column) -> Column:
         ":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def personal_data(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False
-) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of the rules' spans), spans and span_list (all,
-    as text and as sorted array of kind number, start and end), one row per row; with
-    ``keep_columns`` all columns of the documents come first in a struct ``row``.
-
-    Spans count code points, the end exclusive, ordered by kind and start. The trees only
-    add spans; a candidate that overlaps a span of its kind adds nothing. A null or empty text has no
-    spans. Without candidates, or where a kind has too few right ones, nothing is added.
-    Ids may be null or repeated; every row is answered.
-    """
-    given = [F.col(f"`{c}`") for c in docs.columns] if keep_columns else [F.col(id_col).cast("long").alias("doc_id")]
-    rows = docs.select(F.struct(*given).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+def _found(docs: DataFrame, text_col: str, given: dict[str, Column]) -> DataFrame:
+    """The given columns, __base, and __spans: base and added spans as sorted (kind, start, end)."""
+    columns = [c.alias(name) for name, c in given.items()]
+    rows = docs.select(*columns, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     rows = materialize(candidates(rows, "__text").drop("__text"), "personal-candidates")
     trees, limits = fit(rows)
     limit = F.array(*[F.lit(x) for x in limits])
     right = lambda c: (trees.column(c) >= F.get(limit, c["kind"])) & ~c["label"]
     added = F.transform(
-        F.filter("__candidates", right), lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
+        F.filter("__candidates", right),
+        lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
     )
-    rows = with_once(rows, span_list=F.sort_array(F.concat("__base", added)))
+    return with_once(rows, __spans=F.sort_array(F.concat("__base", added))).drop("__candidates")
+
+
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of the rules' spans), spans (all) and
+    span_list (the same as sorted structs of kind number, start and end), one row per row.
+
+    Spans count code points, the end exclusive, ordered by kind and start. The trees only
+    add spans; a candidate that overlaps a span of its kind adds nothing. A null or empty
+    text has no spans. Without candidates, or where a kind has too few right ones, nothing
+    is added. Ids may be null or repeated; every row is answered. Other columns are not read.
+    """
+    rows = _found(docs, text_col, {"doc_id": F.col(id_col).cast("long")})
     count = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long")
     return rows.select(
-        "row" if keep_columns else "row.doc_id",
-        *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
+        "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         sha256_hex(_written(F.col("__base"))).alias("base_sha256"),
-        _written(F.col("span_list")).alias("spans"), "span_list",
+        _written(F.col("__spans")).alias("spans"), F.col("__spans").alias("span_list"),
     )
 
 
-def redact(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False
-) -> DataFrame:
-    """redacted_text, after doc_id or all columns: every span is replaced by a mark with its
-    kind in capitals, spans that overlap by one mark. A null text stays null; a text without spans
-    stays as it is."""
-    found = personal_data(docs, id_col, text_col, keep_columns=True)
-    ordered = F.sort_array(F.transform("span_list", lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e"), s["kind"].alias("k"))))
-    text = F.col(f"row.`{text_col}`")
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """All columns and redacted_text: every span is replaced by a mark with its kind in
+    capitals, spans that overlap by the mark of the first. A null text stays null; a text
+    without spans stays as it is."""
+    names = {f"__c{i}": c for i, c in enumerate(docs.columns)}  # no clash with other names
+    text = F.col(f"__c{docs.columns.index(text_col)}")
+    found = _found(docs, text_col, {new: F.col(f"`{c}`") for new, c in names.items()})
+    ordered = F.transform("__spans", lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e"), s["kind"].alias("k")))
+    rows = with_once(found.drop("__base"), __at=F.sort_array(ordered)).drop("__spans")
     mark = lambda k: F.get(F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS]), k)
-    rows = with_once(found, __at=ordered)
     cut = lambda s, x: F.substring(text, s + 1, x - s)
     step = lambda a, x: F.when(
         x["s"] >= a["at"],
@@ -308,8 +309,7 @@ def redact(
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
     new = F.aggregate("__at", start, step, lambda a: F.concat(
         F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
-    names = docs.columns if keep_columns else [id_col]
     return rows.select(
-        *[F.col(f"row.`{c}`").alias(c) for c in names],
+        *[F.col(new_name).alias(c) for new_name, c in names.items()],
         F.when(F.size("__at") > 0, new).otherwise(text).alias("redacted_text"),
     )
