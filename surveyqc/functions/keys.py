@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType, StringType
+from pyspark.sql.types import DataType, DoubleType, FloatType, IntegralType, StringType
 
 MISSING_PART = "NULO"
 SEPARATOR = "-"
@@ -43,6 +43,17 @@ def integer_part(c: Column, kind: DataType, on_fractional: str = "error") -> Col
     return whole_number(c.cast("double"), on_fractional)
 
 
+def id_text(c: Column, kind: DataType) -> Column:
+    """An id as text. Whole floating numbers are written out, ``12345678.0``, up to where
+    they are exact."""
+    if not isinstance(kind, (FloatType, DoubleType)):
+        return c.cast("string")
+    number = c.cast("double")
+    whole = (F.abs(number) < 1e16) & (number == F.floor(number))
+    written = F.concat(number.try_cast("decimal(38,0)").cast("string"), F.lit(".0"))
+    return F.when(whole, written).otherwise(c.cast("string"))
+
+
 def code_text(c: Column, kind: DataType) -> Column:
     """A category code as text: numeric, truncated to a whole number, else null."""
     if isinstance(kind, IntegralType):

@@ -28,7 +28,7 @@ def with_keys(df: DataFrame, options: SurveyOptions) -> DataFrame:
         row_id = K.row_key(df, options.id_components, options.on_fractional)
         keyed = with_once(df, **{ROW_ID: row_id})
         return keyed.withColumn(BASE_ID, K.base_key(F.col(ROW_ID)))
-    same = F.col(options.id_col).cast("string")
+    same = K.id_text(F.col(options.id_col), df.schema[options.id_col].dataType)
     return df.withColumn(ROW_ID, same).withColumn(BASE_ID, same)
 
 

@@ -139,7 +139,7 @@ def unnest_members(detailed: DataFrame, members: DataFrame, min_rows: int = 1_00
 
 def unnest_simple(detailed: DataFrame, reference: DataFrame) -> DataFrame:
     """One row per result that has a reference record; the row id is the case id."""
-    known = detailed.join(reference.select("id"), "id", "left_semi")
+    known = detailed.join(reference.select("id").distinct(), "id", "left_semi")
     return known.select(*_unnested(F.col("id")))
 
 

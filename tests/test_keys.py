@@ -129,3 +129,21 @@ def test_simple_mode(spark):
     o = SurveyOptions.simple()
     got = prepare.group_observations(prepare.with_clean_text(prepare.with_keys(df, o), o), o)
     assert {tuple(r[2]) for r in got.collect()} == {()}
+
+
+def test_ids_of_floats_are_written_out(spark):
+    values = [12345678.0, 1234.0, -5.0, 0.5, None, 1e15]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    got = [r.t for r in df.select("i", K.id_text(F.col("x"), df.schema["x"].dataType).alias("t")).orderBy("i").collect()]
+    assert got == ["12345678.0", "1234.0", "-5.0", "0.5", None, "1000000000000000.0"]
+
+
+def test_simple_merge_finds_numbers_in_any_notation(spark):
+    from surveyqc.operators.merge import merge_simple
+
+    review = spark.createDataFrame([("12345678", "a"), ("7", "b"), ("5", "c")], "ID_DELITO_IA string, RAZONAMIENTO_GENERAL string")
+    floats = spark.createDataFrame([(12345678.0,), (7.0,), (8.0,), (None,)], "id double")
+    got = {r.id: r.RAZONAMIENTO_GENERAL for r in merge_simple(floats, review, "id").collect()}
+    assert got == {12345678.0: "a", 7.0: "b", 8.0: "", None: None}
+    texts = spark.createDataFrame([("007",), ("+5",), ("x",)], "id string")
+    assert {r.id: r.RAZONAMIENTO_GENERAL for r in merge_simple(texts, review, "id").collect()} == {"007": "b", "+5": "c", "x": ""}
