@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -74,12 +73,6 @@ class SurveyOptions:
             names = [self.id_col, self.text_col, self.code_col]
         return list(dict.fromkeys(n for n in names if n is not None))
 
-    @property
-    def max_patterns_per_length(self) -> int:
-        """Each row has one phrase per length, so the percentages of a length add
-        up to at most 100 and no more than this many can reach the threshold."""
-        return math.floor(100.0 / self.pattern_min_percent)
-
 
 def check_columns(df: DataFrame, names: list[str]) -> None:
     """Raise before any job starts if a required column is absent."""
