@@ -1,3 +1,5 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from surveyqc.operators import chat, prepare, reconcile
@@ -74,7 +76,13 @@ def test_runs_side_by_side(spark, tmp_path):
     files.write_run(one, path, "20250101")
     files.write_run(one.filter("id = 'b'"), path, "20250102")
     assert [r.id for r in files.read_latest_run(spark, path).collect()] == ["b"]
-    assert spark.read.parquet(path).count() == 3
+    files.write_run(one.filter("id = 'a'"), path, "9")
+    files.write_run(one, path, "10")
+    last = files.read_latest_run(spark, path)
+    assert [r.id for r in last.collect()] == ["a"] and last.columns == one.columns
+    assert sorted(p.name for p in Path(path).iterdir() if p.is_dir()) == [
+        "run_id=10", "run_id=20250101", "run_id=20250102", "run_id=9"]
+    assert spark.read.parquet(path).count() == 6
 
 
 def test_problem_sink(spark, tmp_path):
