@@ -18,11 +18,11 @@ from surveyqc.operators.once import with_once
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 
-#: The model is one float per bucket, 256 KB, whatever the corpus. A power of two.
-BUCKETS = 1 << 16
+#: The model is one float per bucket, 1 MB, whatever the corpus. A power of two.
+BUCKETS = 1 << 18
 #: Added to both counts of a bucket, so that rare n-grams say little.
 SMOOTHING = 5.0
-THRESHOLD = -0.12
+THRESHOLD = -0.1
 #: Most trusted rows that are used, those with the smallest hash of their id: what is
 #: broadcast is at most this many ids.
 TRUSTED_ROWS = 200_000

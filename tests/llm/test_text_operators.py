@@ -109,6 +109,15 @@ def test_quality_verdict_follows_the_trusted(spark):
     assert {r.kept for r in none} == {False} or {r.score for r in none} != {None}
 
 
+def test_quality_table_and_threshold_are_whole(spark):
+    import inspect
+
+    defaults = {k: v.default for k, v in inspect.signature(Q.quality_rules).parameters.items()}
+    assert (defaults["count"], defaults["threshold"]) == (1 << 18, -0.1)
+    trusted = spark.createDataFrame([(4,)], "doc_id long")
+    assert len(Q.ratios(frame(spark), trusted, "doc_id", "text", defaults["count"]).first().m) == 1 << 18
+
+
 def test_quality_of_nothing(spark):
     empty = frame(spark, [])
     assert Q.quality_rules(empty, empty.select("doc_id")).collect() == []
