@@ -23,9 +23,8 @@ BUCKETS = 1 << 18
 #: Added to both counts of a bucket, so that rare n-grams say little.
 SMOOTHING = 5.0
 THRESHOLD = -0.1
-#: Most trusted rows that are used, those with the smallest hash of their id: what is
-#: broadcast is at most this many ids.
-TRUSTED_ROWS = 200_000
+#: Rows without an id are dealt out over so many parts when trusted ids are joined.
+NULL_PARTS = 4096
 
 _POSITION = (1 << 31) - 1
 
@@ -105,10 +104,11 @@ def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, coun
     """
     ids = (
         trusted.select(F.col(id_col).cast("long").alias("__id")).filter("__id is not null").distinct()
-        .orderBy(F.xxhash64("__id"), "__id").limit(TRUSTED_ROWS).withColumn("__trusted", F.lit(1))
+        .withColumn("__part", F.lit(0)).withColumn("__trusted", F.lit(1))
     )
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
-    rows = rows.join(F.broadcast(ids), "__id", "left")
+    part = F.when(F.col("__id").isNull(), F.pmod(F.hash("__text"), F.lit(NULL_PARTS))).otherwise(F.lit(0))
+    rows = rows.withColumn("__part", part).join(ids, ["__id", "__part"], "left")
     rows = with_once(rows, __hashes=hashes(words(F.col("__text"))))
     single = F.transform("__hashes", lambda h, i: _buckets(h, i, count)[0])
     double = F.transform("__hashes", lambda h, i: _buckets(h, i, count)[1])

@@ -118,6 +118,17 @@ def test_quality_table_and_threshold_are_whole(spark):
     assert len(Q.ratios(frame(spark), trusted, "doc_id", "text", defaults["count"]).first().m) == 1 << 18
 
 
+def test_quality_counts_all_trusted(spark, monkeypatch):
+    """Every trusted document counts, however many there are; rows without an id never do."""
+    monkeypatch.setattr(Q, "TRUSTED_ROWS", 1, raising=False)
+    texts = [f"w{i} w{i} w{i}" for i in range(40)]
+    rows = [(i if i < 30 else None, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    trusted = spark.createDataFrame([(i,) for i in [*range(20), 0, 1, None]], "doc_id long")
+    model = Q.ratios(df, trusted, "doc_id", "text", 1 << 18).first().m
+    assert sum(m > 0 for m in model) == 40 and sum(m < 0 for m in model) == 40
+
+
 def test_quality_of_nothing(spark):
     empty = frame(spark, [])
     assert Q.quality_rules(empty, empty.select("doc_id")).collect() == []
