@@ -26,13 +26,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 NAMES = re.compile(r"passw|secret|token|api_?key", re.ASCII | re.IGNORECASE)
 
-#: Strings that may be random: long, of one alphabet, with a digit or mixed case.
+#: Strings that may be random: long and of one alphabet.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
-#: Digests by their lengths in hexadecimal, UUIDs, plain numbers, and names made of words.
+#: Digests by their lengths in hexadecimal, UUIDs, plain numbers, and rules of marks or of one character.
 KNOWN = re.compile(
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}"
-    r"|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[0-9-]+|/?[A-Za-z]*(?:[-_/=+]+[A-Za-z]*)*[0-9]{0,4})"
+    r"|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[0-9-]+|[-_/=+]+|(.)\1*)", re.DOTALL
 )
+#: What stands between the words of a name, and the number at its end.
+BETWEEN = re.compile(r"[-_/=+]+")
+NUMBER = re.compile(r"(?<![0-9])[0-9]{1,4}\Z")
 #: Characters per token under which a string counts as random.
 CHARS_PER_TOKEN = 2.2
 
@@ -57,6 +60,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def is_name(s: str, encoding, limit: float) -> bool:
+    """Whether all parts of a string are words, each with enough characters per token, but
+    for up to four digits at the end. Parts of one or two letters say little: they may be at
+    most half of the letters."""
+    parts = [p for p in BETWEEN.split(NUMBER.sub("", s)) if p]
+    if not all(p.isalpha() for p in parts):
+        return False
+    long = [p for p in parts if len(p) > 2]
+    if 2 * sum(map(len, long)) < sum(map(len, parts)):
+        return False
+    spelt = [p.lower() if p.isupper() else p for p in long]  # words in capitals have more tokens
+    return all(len(p) >= limit * len(encoding.encode_ordinary(p)) for p in spelt)
+
+
 def random_spans(text: str, encoding, limit: float, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Strings with few characters per token that no certain span touches."""
     out = []
@@ -64,7 +81,7 @@ def random_spans(text: str, encoding, limit: float, base: list[tuple[int, int, i
         start, end, s = m.start(), m.end(), m[0]
         if KNOWN.fullmatch(s) or any(a < end and start < b for a, _, b in base):
             continue
-        if len(s) < limit * len(encoding.encode_ordinary(s)):
+        if len(s) < limit * len(encoding.encode_ordinary(s)) and not is_name(s, encoding, limit):
             out.append((start, 3, end))
     return out
 

@@ -296,3 +296,20 @@ def test_secrets(spark):
     found = [s for s in last.spans.split(",") if s.startswith("random")]
     assert [TEXTS[-1][int(s.split(":")[1]) : int(s.split(":")[2])] for s in found] == ["Zx81+qLw0PpR7sVt2YcK9mDf3Gh5"]
     assert S.find_secrets(frame(spark, []), RANKS, public_tokenizers.PATTERN).collect() == []
+
+
+def test_secrets_of_letters_only(spark, encoding):
+    """Random letters are found, whatever their case and their last digits; names are not."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    secret = ["kQzXvBnMwRtYpLsDfGhJ", "Qm+ZxKvWtR/bNpLgHcXyDfJs=="]
+    secret += ["".join(rng.choices(letters, k=28)) + end for end in ("", "7", "4821")]
+    names = [
+        "some_long_identifier_name", "getUserAccountSettingsByName", "MAX_RETRY_COUNT_LIMIT_2", "customer-order-id-by-region-2024",
+        "=" * 40, "-=" * 30, "x" * 50, "0" * 30, "d41d8cd98f00b204e9800998ecf8427e", "123e4567-e89b-12d3-a456-426614174000",
+    ]
+    find = lambda s: S.random_spans(f"a {s} b", encoding, S.CHARS_PER_TOKEN, [])
+    assert [find(s) for s in secret] == [[(2, 3, 2 + len(s))] for s in secret]
+    assert [s for s in names if find(s)] == []
+    for rule in ("=" * 50_000 + "12345", "_" * 50_000 + "1a", "-=" * 20_000 + "1a"):  # ends, in linear time
+        find(rule)
