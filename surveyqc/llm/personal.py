@@ -1,12 +1,13 @@
 """Personal data by rules and by boosted trees over candidates, in DataFrame functions only.
 
 Rules find spans of four kinds that are certain. Generators with a high recall propose more
-spans, which may overlap, and each candidate gets features of its format and context. A
-candidate that overlaps a span of its kind is a positive example, any other a negative
-one. All candidates of all documents are counted by feature values (there are at most
-``prod(BINS)`` combinations), and gradient boosting with trees of two levels is done on those
-counts. Per kind, the threshold is the lowest score whose candidates in the calibration
-third are right often enough; candidates above it are added to the rules' spans.
+spans, which may overlap, and each candidate gets features of its format and context. What
+speaks for or against a candidate is told without the rules: cue words, Luhn, valid ranges
+and host names. Those with neither are unlabelled and no examples. The others of all
+documents are counted by feature values (there are at most ``prod(BINS)`` combinations), and
+gradient boosting with trees of two levels is done on those counts. Per kind, the threshold
+is the lowest score whose candidates in the calibration third are right often enough;
+candidates above it that have evidence of their own are added to the rules' spans.
 """
 
 from __future__ import annotations
@@ -43,6 +44,13 @@ GENERATORS = {
 #: Words that announce personal data.
 CUES = r"(?i)(?:mail|phone|tel|call|fax|mobile|card|visa|account|addr|host|contact|ip)\b[^\n]{0,12}$"
 
+#: Words that announce a phone number.
+PHONE_CUES = r"(?i)\b(?:(?:tele|mobile\x20)?phone|tel|tel[eé]fono|telefon|t[eé]l[eé]phone|call|fax|mobile|contact)\b[^\n]{0,12}$"
+#: An address with a host name of several parts.
+HOST = r"(?i)(?:@|\x20?[\[(]at[\])]\x20?)(?:[a-z0-9-]++\.)++[a-z]{2,}+\.?$"
+#: Numbers with dots or hyphens that are no phone numbers: addresses and dates.
+NO_PHONE = r"^(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9]{4}([.-])[0-9]{2}\1[0-9]{2}|[0-9]{2}([.-])[0-9]{2}\2[0-9]{4})$"
+
 #: Features and how many values each has.
 BINS = {"kind": 4, "digits": 14, "size": 10, "marks": 5, "dots": 5, "plus": 2, "before": 4, "after": 4, "cue": 2}
 ROUNDS = 24
@@ -114,6 +122,24 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _evidence(kind: str, c: Column) -> Column:
+    """1 for evidence that a candidate is personal data, -1 for evidence against it, 0 for neither."""
+    value, cue = c["value"], c["before"].rlike(PHONE_CUES if kind == "phone" else CUES)
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    card = F.length(digits).between(13, 19) & F.call_function("luhn_check", F.left(digits, F.lit(19)))
+    issued = digits.rlike("^[3-6]")
+    if kind == "email":
+        found, against = value.rlike(HOST) | (cue & ~value.contains("@")), value.contains("@")
+    elif kind == "ip":
+        found, against = _valid(kind, value), F.lit(True)
+    elif kind == "card":
+        found, against = card & issued, ~card
+    else:
+        against = value.rlike(NO_PHONE) | (F.length(digits) > 15) | (card & issued & ~value.startswith("+"))
+        found = cue & ~against & (F.length(digits) >= 8)
+    return F.when(found, F.lit(1)).when(against, F.lit(-1)).otherwise(F.lit(0))
+
+
 def _edge(c: Column) -> Column:
     return (
         F.when(c.rlike(r"^\s?$"), F.lit(0)).when(c.rlike(r"\p{L}"), F.lit(1))
@@ -139,7 +165,8 @@ def _features(number: int, c: Column) -> list[Column]:
 
 
 def candidates(df: DataFrame, text: str) -> DataFrame:
-    """Adds __base (kind, start, end) and __candidates (with features and a label)."""
+    """Adds __base (kind, start, end) and __candidates (with features, a label by evidence, and
+    whether they overlap a span of their kind)."""
     digit = F.col(text).rlike("[0-9]")
     at = F.col(text).contains("@")
     loose = at | F.col(text).contains("at)") | F.col(text).contains("at]")
@@ -158,7 +185,8 @@ def candidates(df: DataFrame, text: str) -> DataFrame:
     def proposed(i, kind):
         return F.transform(f"__may_{kind}", lambda c: F.struct(
             *_features(i, c), c["start"].alias("start"), c["end"].alias("end"),
-            F.exists(f"__sure_{kind}", lambda s: (s["start"] < c["end"]) & (s["end"] > c["start"])).alias("label"),
+            F.exists(f"__sure_{kind}", lambda s: (s["start"] < c["end"]) & (s["end"] > c["start"])).alias("known"),
+            _evidence(kind, c).alias("label"),
         ))
 
     df = with_once(
@@ -226,12 +254,12 @@ class Trees:
 
 
 def fit(rows: DataFrame) -> tuple[Trees, list[float]]:
-    """Trees and one threshold per kind, from the counts of all candidates."""
+    """Trees and one threshold per kind, from the counts of all labelled candidates."""
     part = F.pmod(F.xxhash64("c.start", "c.end", *[f"c.{b}" for b in BINS]), F.lit(3)) == 0
     cells = (
-        rows.select(F.explode("__candidates").alias("c"))
+        rows.select(F.explode("__candidates").alias("c")).filter("c.label != 0")
         .groupBy(part.alias("calibrate"), *[F.col(f"c.{b}").alias(b) for b in BINS])
-        .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("c.label"), 1)).alias("positive"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("c.label") == 1, 1)).alias("positive"))
         .collect()
     )
     cells.sort()
@@ -265,7 +293,7 @@ def _found(docs: DataFrame, text_col: str, given: dict[str, Column]) -> DataFram
     rows = materialize(candidates(rows, "__text").drop("__text"), "personal-candidates")
     trees, limits = fit(rows)
     limit = F.array(*[F.lit(x) for x in limits])
-    right = lambda c: (trees.column(c) >= F.get(limit, c["kind"])) & ~c["label"]
+    right = lambda c: (c["label"] == 1) & ~c["known"] & (trees.column(c) >= F.get(limit, c["kind"]))
     added = F.transform(
         F.filter("__candidates", right),
         lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
@@ -278,7 +306,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     span_list (the same as sorted structs of kind number, start and end), one row per row.
 
     Spans count code points, the end exclusive, ordered by kind and start. The trees only
-    add spans; a candidate that overlaps a span of its kind adds nothing. A null or empty
+    add spans; a candidate that overlaps a span of its kind, or that nothing speaks for (such
+    as a number without + and without a cue word), adds nothing. A null or empty
     text has no spans. Without candidates, or where a kind has too few right ones, nothing
     is added. Ids may be null or repeated; every row is answered. Other columns are not read.
     """

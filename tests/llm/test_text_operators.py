@@ -214,6 +214,27 @@ def test_trees_learn_and_threshold():
     assert P.threshold(score, n, n * 0, np.ones(400, bool)) == float("inf")
 
 
+def test_personal_data_beyond_the_rules(spark):
+    """Evidence adds what has another format than the rules'; numbers without any are not added."""
+    texts, want = [], []
+    for i in range(300):
+        card = "4111.1111.1111." + f"{i:03d}"
+        last = next(d for d in range(10) if luhn(card.replace(".", "") + str(d)))
+        parts = [
+            ("x" * (i % 40) + " Please call: ", None), (f"503 555 {i:04d}", "phone"), (" today, mail to ", None),
+            (f"bob{i} [at] mail.com", "email"), (" or pay by card ", None), (f"{card}{last}", "card"),
+            (f" order 503 555 {i:04d} wrong {card}{(last + 1) % 10} on 10.{i % 250}.3.4", None),
+        ]
+        text, spans = "", []
+        for part, kind in parts:
+            spans += [f"{kind}:{len(text)}:{len(text) + len(part)}"] if kind else []
+            text += part
+        texts.append(text), want.append(set(spans))
+    for r in P.personal_data(frame(spark, texts)).collect():
+        got = {s for s in r.spans.split(",") if not s.startswith("ip:")}
+        assert got == want[r.doc_id]
+
+
 def test_personal_data_of_nothing(spark):
     assert P.personal_data(frame(spark, [])).collect() == []
 
