@@ -29,3 +29,20 @@ def test_stages_in_order(spark):
 def test_run_gives_the_last_stage(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
+
+
+def test_near_dedup_keeps_one_of_repeated_rows(spark):
+    """Also of rows that repeat id and text, and of copies without an id."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    rows = [
+        (1, a), (1, a), (2, a), (None, a), (None, b), (None, b), (None, c), (3, ""), (3, ""), (None, None), (None, None),
+        (4, d), (4, e), (5, a + " z"), (None, b + " z"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert out.dtypes == docs.dtypes
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    near = [t for i, t in got if i is None and t and t.startswith("b0")]
+    assert len(near) == 1
+    rest = [r for r in got if r[1] not in near]
+    assert sorted(rest, key=str) == sorted([(1, a), (None, c), (3, ""), (None, None), (4, d), (4, e)], key=str)
