@@ -36,9 +36,9 @@ from surveyqc.sources.scratch import materialize
 #: Bound of the broadcast pairs; see above.
 HOT_PAIRS = 1 << 18
 #: A worker's table of units is emptied beyond so many units, or characters in them.
-UNITS, UNIT_CHARS = 200_000, 1 << 23
+UNITS, UNIT_CHARS = 150_000, 1 << 23
 #: Texts and units that go to a tokenizer at once.
-CHUNK_BYTES, BATCH = 1 << 20, 20_000
+CHUNK_BYTES, BATCH = 1 << 20, 4_000
 #: Groups with more links than this are counted by distinct ids.
 SMALL_GROUP = 64
 
