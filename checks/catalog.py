@@ -454,12 +454,16 @@ def unnest(spark, sf) -> DataFrame:
 
 @query
 def unnest_members(spark, sf) -> DataFrame:
-    """Row ids kept as rows, hot groups salted: same rows as ``unnest``."""
+    """Row ids kept as rows, of a survey in which one group has a third of all; the query
+    fails if no group is salted."""
+    of = I.survey_hot_group
     detailed = prepare.with_obs_key(
-        reconcile.with_details(I.unified(spark, sf)).withColumn(CLEAN, F.col("observacion"))
+        reconcile.with_details(I.unified(spark, sf, of)).withColumn(CLEAN, F.col("observacion"))
     )
-    members = prepare.group_members(I.valid(spark, sf))
-    return _shown(reconcile.unnest_members(detailed, members, min_rows=2))
+    members = prepare.group_members(I.valid(spark, sf, of))
+    unnested = reconcile.unnest_members(detailed, members, min_rows=2, at_least=1)
+    # the codes of the large group, as long as the group itself, are left out
+    return _shown(unnested).drop("expected", "predicted")
 
 
 @query
@@ -542,8 +546,8 @@ def reasoning_clean(spark, sf) -> DataFrame:
     )
 
 
-def _review(spark, sf) -> DataFrame:
-    return review.review_complex(I.unnested(spark, sf))
+def _review(spark, sf, of=I.survey) -> DataFrame:
+    return review.review_complex(I.unnested(spark, sf, of))
 
 
 @query
@@ -577,8 +581,8 @@ def review_stats(spark, sf) -> DataFrame:
 # ---- merge -------------------------------------------------------------------------
 
 
-def _keyed(spark, sf) -> DataFrame:
-    return prepare.with_keys(I.survey(spark, sf), I.OPTIONS)
+def _keyed(spark, sf, of=I.survey) -> DataFrame:
+    return prepare.with_keys(of(spark, sf), I.OPTIONS)
 
 
 def _merged(spark, sf) -> DataFrame:
@@ -595,8 +599,12 @@ def merge_complex(spark, sf) -> DataFrame:
 
 @query
 def merge_salted(spark, sf) -> DataFrame:
-    """The same join with every repeated row id treated as hot."""
-    merged = merge.merge_review(_keyed(spark, sf), _review(spark, sf), min_rows=1)
+    """The same join for a survey with a third of its rows under one row id; the query fails
+    if no row id is salted."""
+    of = I.survey_hot_row
+    merged = merge.merge_review(
+        _keyed(spark, sf, of), _review(spark, sf, of), min_rows=1, at_least=1
+    )
     return merged.select(ROW_ID, "P424_ID", "MATCH_DELITO", "ESTADO_REVISION")
 
 

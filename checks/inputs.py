@@ -53,7 +53,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def survey(spark: SparkSession, sf: str) -> DataFrame:
+def survey(spark: SparkSession, sf: str, orders="true") -> DataFrame:
     """One row per order: a customer is a household, the order day the code, a document
     the narrative. Some codes are null; some households have two narratives."""
     documents = table(spark, sf, "documents").select("doc_id", F.col("text").alias("OBS_400A"))
@@ -64,6 +64,7 @@ def survey(spark: SparkSession, sf: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     return (
         table(spark, sf, "orders")
+        .filter(orders)
         .repartition(cores, "o_orderkey")
         .select(
             F.col("o_custkey").alias("HOGAR"),
@@ -77,23 +78,50 @@ def survey(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return prepare.with_clean_text(prepare.with_keys(survey(spark, sf), OPTIONS), OPTIONS)
+#: Rows of one household that make up a third of a survey, and their narrative.
+HOT_EVERY, HOT_HOUSEHOLD, HOT_DOCUMENT = 3, 0, 0
 
 
-def valid(spark: SparkSession, sf: str) -> DataFrame:
-    return prepare.valid_rows(cleaned(spark, sf), OPTIONS)
+def _with_hot_household(spark: SparkSession, sf: str, code) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    text = documents.filter(F.col("doc_id") == HOT_DOCUMENT).select("text").scalar()
+    orders = table(spark, sf, "orders").filter(F.col("o_orderkey") % HOT_EVERY == 0)
+    zero = F.lit(HOT_HOUSEHOLD).cast("bigint")
+    hot = orders.select(
+        zero.alias("HOGAR"), zero.alias("P201"), zero.alias("ID"), code.cast("bigint").alias("P424_ID"),
+        text.alias("OBS_400A"),
+    )
+    return survey(spark, sf, F.col("o_orderkey") % HOT_EVERY != 0).unionByName(hot)
+
+
+def survey_hot_row(spark: SparkSession, sf: str) -> DataFrame:
+    """The survey with a third of its rows under one row id."""
+    return _with_hot_household(spark, sf, F.lit(7))
+
+
+def survey_hot_group(spark: SparkSession, sf: str) -> DataFrame:
+    """The survey with a third of its rows in one household, narrative and all, each under
+    a code of its own."""
+    return _with_hot_household(spark, sf, F.col("o_orderkey"))
+
+
+def cleaned(spark: SparkSession, sf: str, of=survey) -> DataFrame:
+    return prepare.with_clean_text(prepare.with_keys(of(spark, sf), OPTIONS), OPTIONS)
+
+
+def valid(spark: SparkSession, sf: str, of=survey) -> DataFrame:
+    return prepare.valid_rows(cleaned(spark, sf, of), OPTIONS)
 
 
-def groups(spark: SparkSession, sf: str) -> DataFrame:
-    return prepare.group_observations(valid(spark, sf), OPTIONS)
+def groups(spark: SparkSession, sf: str, of=survey) -> DataFrame:
+    return prepare.group_observations(valid(spark, sf, of), OPTIONS)
 
 
 def _quoted(code, quoted):
     return F.when(quoted, F.concat(F.lit('"'), code, F.lit('"'))).otherwise(code)
 
 
-def answers(spark: SparkSession, sf: str) -> DataFrame:
+def answers(spark: SparkSession, sf: str, of=survey) -> DataFrame:
     """Groups with a made-up raw response of every shape: right, wrong, ambiguous, empty,
     cut off, wrapped in text, with trailing garbage, a bare list, a bare number."""
     h = F.split(BASE_ID, "-")[0].cast("bigint")
@@ -145,7 +173,7 @@ def answers(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(p)
     )
     return (
-        groups(spark, sf)
+        groups(spark, sf, of)
         .withColumn("h", h)
         .withColumn("given", predicted)
         .withColumn("razonamiento_modelo", reasoning)
@@ -163,9 +191,9 @@ def answers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def records(spark: SparkSession, sf: str) -> DataFrame:
+def records(spark: SparkSession, sf: str, of=survey) -> DataFrame:
     """Answers as response records: predicted codes as parsed from the raw response."""
-    parsed = infer.parse_responses(answers(spark, sf))
+    parsed = infer.parse_responses(answers(spark, sf, of))
     return parsed.select(
         "id",
         "h",
@@ -180,21 +208,21 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def unified(spark: SparkSession, sf: str) -> DataFrame:
+def unified(spark: SparkSession, sf: str, of=survey) -> DataFrame:
     """The last record per id, by narrative."""
-    return reconcile.last_wins(records(spark, sf), ["id"], ["observacion"])
+    return reconcile.last_wins(records(spark, sf, of), ["id"], ["observacion"])
 
 
-def reference(spark: SparkSession, sf: str) -> DataFrame:
+def reference(spark: SparkSession, sf: str, of=survey) -> DataFrame:
     """Row ids per id, taken from the last group per id. The codes are kept up to there,
     so that the grouping is the same as that of the records and is shuffled once."""
-    cases = groups(spark, sf).withColumnRenamed(BASE_ID, "id")
+    cases = groups(spark, sf, of).withColumnRenamed(BASE_ID, "id")
     return reconcile.last_wins(cases, ["id"], [CLEAN]).select("id", ROW_IDS)
 
 
-def unnested(spark: SparkSession, sf: str) -> DataFrame:
-    detailed = reconcile.with_details(unified(spark, sf))
-    return reconcile.unnest(detailed, reference(spark, sf))
+def unnested(spark: SparkSession, sf: str, of=survey) -> DataFrame:
+    detailed = reconcile.with_details(unified(spark, sf, of))
+    return reconcile.unnest(detailed, reference(spark, sf, of))
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:

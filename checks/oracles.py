@@ -56,8 +56,10 @@ def cte(name: str, needs: list[str], sql: str) -> None:
     CTE[name] = (needs, sql)
 
 
-def with_ctes(names: list[str], body: str) -> str:
+def with_ctes(names: list[str], body: str, replaced: dict[str, str] | None = None) -> str:
+    """The body behind the steps it needs; ``replaced`` has another SQL for some of them."""
     order: list[str] = []
+    texts = {n: sql for n, (_, sql) in CTE.items()} | (replaced or {})
 
     def visit(n: str) -> None:
         for m in CTE[n][0]:
@@ -67,12 +69,12 @@ def with_ctes(names: list[str], body: str) -> str:
 
     for n in names:
         visit(n)
-    steps = ",\n".join(f"{n} AS MATERIALIZED ({CTE[n][1]})" for n in order)
+    steps = ",\n".join(f"{n} AS MATERIALIZED ({texts[n]})" for n in order)
     return f"WITH {steps}\n{body}" if order else body
 
 
-def oracle(name: str, needs: list[str], body: str) -> None:
-    ORACLES[name] = with_ctes(needs, body)
+def oracle(name: str, needs: list[str], body: str, replaced: dict[str, str] | None = None) -> None:
+    ORACLES[name] = with_ctes(needs, body, replaced)
 
 
 cte(
@@ -88,6 +90,15 @@ FROM (SELECT *, (o_custkey + CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END)
              % (SELECT count(*) FROM documents) AS doc_id FROM orders) o
 JOIN docs d ON d.doc_id = o.doc_id""",
 )
+
+
+def hot_survey(code: str) -> dict[str, str]:
+    """A third of the rows in one household with one narrative."""
+    hot = f"""SELECT o_orderkey, 0 AS h, 0 AS p, 0 AS i, CAST({code} AS BIGINT) AS code, d.text AS original, d.t
+FROM orders, docs d WHERE d.doc_id = 0 AND o_orderkey % 3 = 0"""
+    return {"survey": f"{CTE['survey'][1]} WHERE o.o_orderkey % 3 <> 0 UNION ALL {hot}"}
+
+
 cte(
     "keyed", ["survey"],
     """SELECT *, h || '-' || p || '-' || i AS base,
@@ -537,7 +548,10 @@ SHOWN = f"""SELECT {{0}} AS id_delito_ia, id AS id_observacion, md5(t) AS text_m
   reasoning AS razonamiento_general_modelo, {DETAILS} AS details,
   '2025-01-01T00:00:00' AS timestamp, failed AS processing_error FROM {{1}}"""
 oracle("unnest", ["unn"], SHOWN.format("row_id", "unn"))
-oracle("unnest_members", ["unn"], SHOWN.format("row_id", "unn"))
+oracle(
+    "unnest_members", ["unn"],
+    f"SELECT * EXCLUDE (expected, predicted) FROM ({SHOWN.format('row_id', 'unn')})", hot_survey("o_orderkey"),
+)
 oracle("unnest_simple", ["uni"], SHOWN.format("id", "uni"))
 oracle(
     "recon_summary", ["uni", "unn", "issues"],
@@ -613,6 +627,7 @@ oracle(
 oracle(
     "merge_salted", ["merged"],
     "SELECT row_id AS ID_DELITO_IA, code AS P424_ID, MATCH_DELITO, ESTADO_REVISION FROM merged",
+    hot_survey("7"),
 )
 oracle(
     "merge_upsert", ["keyed", "rev"],

@@ -14,11 +14,47 @@ from pyspark.sql import functions as F
 ROOT = "$.v"
 
 
+#: From so many bytes on a text may hold a string that the plain variant parser refuses.
+LONG_BYTES = 20_000_000
+
+#: For the JSON reader: strict JSON with strings of any length.
+ANY_LENGTH = {
+    "maxStringLen": str(2**31 - 1),
+    "maxNumLen": str(2**31 - 1),
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+
+#: What a variant can hold at most; a longer text that is valid raises, it is never lost.
+VARIANT_BYTES = 128 << 20
+
+
+def _variant(text: Column) -> Column:
+    """The text as a variant, null if it is no JSON. The plain parser has a limit on the
+    length of a string, the reader has an option for it, so long texts take the reader."""
+    return F.when(F.octet_length(text) < LONG_BYTES, F.try_parse_json(text)).otherwise(
+        F.from_json(text, "variant", ANY_LENGTH)
+    )
+
+
 def strict_variant(text: Column) -> Column:
-    """``{"v": <text>}`` as a variant, null unless ``text`` is one valid JSON value."""
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.when(in_array.isNotNull(), in_object)
+    """``{"v": <text>}`` as a variant, null unless ``text`` is one valid JSON value. Strings
+    in it may have any length; a valid value that no variant can hold raises an error."""
+    whole = F.concat(F.lit("["), text, F.lit("]"))
+    named = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    in_array, in_object = _variant(whole), _variant(named)
+    # the text functions of JSON have no such limit, so they tell too long from invalid
+    too_long = (
+        (F.octet_length(text) > VARIANT_BYTES // 2) & in_object.isNull()
+        & (F.json_array_length(whole) == 1) & (F.size(F.json_object_keys(named)) == 1)
+    )
+    message = F.concat(
+        F.lit("a JSON value of "), F.octet_length(text).cast("string"),
+        F.lit(" bytes is more than a variant holds"),
+    )
+    return F.when(in_array.isNotNull() & in_object.isNotNull(), in_object).when(
+        F.coalesce(too_long, F.lit(False)), F.raise_error(message).cast("variant")
+    )
 
 
 def node(v: Column, path: str = ROOT) -> Column:

@@ -62,7 +62,7 @@ def records_of(loaded: DataFrame) -> DataFrame:
     """Fields of the readable records that have an id."""
     order = [c for c in loaded.columns if c not in ("value", "status", "id")]
     return (
-        with_once(loaded.filter(F.col("status") == OK), __r=F.from_json("value", RECORD))
+        with_once(loaded.filter(F.col("status") == OK), __r=F.from_json("value", RECORD, J.ANY_LENGTH))
         .select("id", "__r.*", *order)
     )
 
@@ -79,7 +79,7 @@ def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def missing_ids(reference: DataFrame, unified: DataFrame) -> DataFrame:
     """Ids of the first table that the second lacks."""
-    return reference.select("id").distinct().join(unified.select("id"), "id", "left_anti")
+    return reference.select("id").distinct().join(unified.select("id").distinct(), "id", "left_anti")
 
 
 def smallest(ids: DataFrame, n: int = 5) -> DataFrame:
@@ -129,11 +129,14 @@ def unnest(detailed: DataFrame, reference: DataFrame) -> DataFrame:
     return exploded.select(*_unnested(F.col("__row_id")))
 
 
-def unnest_members(detailed: DataFrame, members: DataFrame, min_rows: int = 1_000_000) -> DataFrame:
+def unnest_members(
+    detailed: DataFrame, members: DataFrame, min_rows: int = 1_000_000, at_least: int = 0
+) -> DataFrame:
     """As :func:`unnest` for row ids kept as rows (``ID_BASE, obs_key, ID_DELITO_IA``).
-    The members of a hot group are spread over many tasks."""
+    The members of a hot group are spread over many tasks; fewer than ``at_least`` hot
+    groups raise an error."""
     rows = members.withColumnRenamed(BASE_ID, "id")
-    joined = salted_join(rows, detailed, ["id", OBS_KEY], "inner", min_rows=min_rows)
+    joined = salted_join(rows, detailed, ["id", OBS_KEY], "inner", min_rows=min_rows, at_least=at_least)
     return joined.select(*_unnested(F.col(ROW_ID)))
 
 

@@ -1,0 +1,74 @@
+"""JSON records with strings far above the plain parser's limit of 20 million characters."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from surveyqc.functions import json as J
+from surveyqc.functions import responses as R
+from surveyqc.operators import chat, infer, reconcile, triage
+from surveyqc.sources.scratch import materialize
+
+LONG = 30_000_000
+
+
+def table(spark, size=LONG, **texts):
+    """One written row; in each text ``~`` stands for the narrative. Its digest is ``want``."""
+    unit = F.when(F.col("id") == 0, "ñandú ")  # not a constant, or the plan would hold the text
+    row = spark.range(1).select(F.repeat(unit, size // 6).alias("narrative"))
+    values = [F.replace(F.lit(t), F.lit("~"), F.col("narrative")).alias(name) for name, t in texts.items()]
+    return materialize(row.select(*values, F.sha2("narrative", 256).alias("want")), "test-long")
+
+
+def test_validity_does_not_depend_on_the_length(spark):
+    texts = {
+        "whole": ('{"a":"~"}', True),
+        "list": ('["~",1]', True),
+        "string": ('"~"', True),
+        "garbage": ('{"a":"~"}x', False),
+        "bracket": ('{"a":"~"}]', False),
+        "two": ('{"a":"~"} {"b":1}', False),
+        "cut": ('{"a":"~', False),
+        "quotes": ("{'a':\"~\"}", False),
+        "nan": ('{"b":NaN,"a":"~"}', False),
+        "repeated": ('{"a":1,"a":"~"}', False),
+        "number": ('{"b":01,"a":"~"}', False),
+    }
+    df = table(spark, 20_100_000, **{name: text for name, (text, _) in texts.items()})
+    got = df.select(*[J.strict_variant(F.col(name)).isNotNull().alias(name) for name in texts]).first()
+    assert got.asDict() == {name: valid for name, (_, valid) in texts.items()}
+
+
+def test_a_value_beyond_any_variant_raises(spark):
+    df = table(spark, whole='{"a":"~~~~"}', broken='{"a":"~~~~"}x')
+    with pytest.raises(Exception, match="more than a variant holds"):
+        df.select(J.strict_variant(F.col("whole")).isNotNull()).collect()
+    assert df.select(J.strict_variant(F.col("broken")).isNull()).first()[0] is True
+
+
+def test_load_and_read_back(spark):
+    df = table(spark, value='{"case_id":"9-1","id_observacion":"z","observacion":"~","raw_response":"r"}')
+    loaded = reconcile.load_records(df)
+    assert [tuple(r) for r in reconcile.load_audit(loaded).collect()] == [(reconcile.OK, 1)]
+    r = reconcile.records_of(loaded).select("id", F.sha2("observacion", 256) == F.col("want"), "raw_response").first()
+    assert tuple(r) == ("9-1", True, "r")
+
+
+def test_chat(spark):
+    inner = '{\\"codigos_delito\\":[\\"9\\"],\\"ids_delito_originales\\":[\\"9-1-9\\"]}'
+    df = table(spark, value='{"id":"9-1","messages":[{"role":"system","content":"s"},{"role":"user","content":"~"},'
+               '{"role":"assistant","content":"' + inner + '"}]}')
+    cases = chat.cases_from_chat(chat.read_chat(df))
+    r = cases.select("id", "expected_codes", F.sha2("observacion", 256) == F.col("want")).first()
+    assert tuple(r) == ("9-1", ["9"], True)
+
+
+def test_responses(spark):
+    df = table(spark, raw_response='{"razonamiento":"~","clasificaciones":[{"codigo":"9","justificacion":"~"}]}')
+    df = df.withColumn("razonamiento_modelo", F.lit("x"))
+    r = infer.parse_responses(df).select(
+        "parsed.codes", "parsed.failed", F.sha2("parsed.reasoning", 256) == F.col("want")).first()
+    assert tuple(r) == (["9"], False, True)
+    why = reconcile.with_details(df).select(F.sha2(F.col("details")["9"], 256) == F.col("want")).first()
+    assert why[0] is True
+    assert triage.with_format_class(df).first()["format_class"] == "A"
+    assert df.select(R.attempt_codes(J.strict_variant(F.col("raw_response")))).first()[0] == ["9"]

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveyqc.operators import consistency, merge, review
-from surveyqc.operators.skew import hot_keys, salted_join
+from surveyqc.operators.skew import heavy_hitters, salted_join
 
 UNNESTED = (
     "id_delito_ia string, id_observacion string, observacion string, expected_codes_obs array<string>, "
@@ -127,12 +127,37 @@ def test_salted_join_equals_plain_join(spark):
         b = left.join(right, ["k"], how)
         assert a.count() == b.count()
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    hot = [r.k for r in hot_keys(left, ["k"], 8, 50).collect()]
-    assert 1 in hot and len(hot) < 8
+    hot = heavy_hitters(left, ["k"], 8, 50)
+    one = spark.range(1).select(F.xxhash64(F.lit(1).cast("long"))).first()[0]
+    assert hot == {one: 3}
+    assert "__salts" in salted_join(left, right, ["k"], "left", min_rows=50)._jdf.queryExecution().toString()
+    # the right side's key of another type takes the same salts
+    narrow = right.withColumn("k", F.col("k").cast("int"))
+    assert salted_join(left, narrow, ["k"], min_rows=50).count() == left.join(right, ["k"]).count()
+    with pytest.raises(ValueError):
+        salted_join(left, right, ["k"], at_least=2, min_rows=50)
     with pytest.raises(ValueError):
         salted_join(left, right, ["k"], "full")
 
 
+def test_heavy_hitters_shuffle_no_keys(spark):
+    """All keys above two shares are found among half a million; what leaves a task is one
+    sketch."""
+    k = F.col("id")
+    df = spark.range(600_000, numPartitions=6).select(
+        F.when(k % 6 == 0, 5).when(k % 6 == 1, k % 3000).when(k % 60 == 2, None).otherwise(k).alias("k"))
+    counts = {r["h"]: r["n"] for r in df.dropna().groupBy(F.xxhash64("k").alias("h")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    for parts in (4, 64, 512):
+        hot = heavy_hitters(df, ["k"], parts, 1)
+        share = 600_000 / parts
+        assert {h for h, n in counts.items() if n > 2 * share} <= set(hot)
+        assert all(counts[h] > 0.8 * share and n <= counts[h] / share * 1.2 + 1 for h, n in hot.items())
+        assert len(hot) < 2 * parts
+    assert heavy_hitters(df.limit(0), ["k"], 8, 1) == {}
+    assert heavy_hitters(df.filter("k is null"), ["k"], 8, 1) == {}
+
+
 ATTEMPTS = [
     ("same", [["9"], ["9"]], 100.0, "PERFECTA"),
     ("half", [["9", "2"], ["9"]], 50.0, "MEDIA"),
