@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +18,12 @@ from surveyqc.functions import responses as R
 from surveyqc.functions import text as T
 from surveyqc.functions.reasoning import clean_reasoning
 from surveyqc.operators import (
-    chat, consistency, infer, merge, prefixes, prepare, prompts, reconcile, review, triage,
+    chat, consistency, durable, infer, merge, prefixes, prepare, prompts, reconcile, review, triage,
 )
 from surveyqc.operators.prepare import BASE_ID, CLEAN, CODES, ROW_ID, ROW_IDS
 from surveyqc.options import SurveyOptions, check_columns
 from surveyqc.plans.full_run import run_review
+from surveyqc.sources.scratch import shared_folder
 
 QUERIES = {}
 
@@ -280,7 +284,7 @@ def pattern_stats(spark, sf) -> DataFrame:
 
 @query
 def prompt_render(spark, sf) -> DataFrame:
-    rendered = prompts.render_prompts(_documents(spark, sf), I.SPEC, "text")
+    rendered = prompts.render_prompts(_documents(spark, sf), I.PROMPTS, "text")
     return rendered.select(
         "doc_id", F.length("system_prompt").alias("system_chars"), "user_prompt"
     )
@@ -288,7 +292,7 @@ def prompt_render(spark, sf) -> DataFrame:
 
 @query
 def prompt_stats(spark, sf) -> DataFrame:
-    stats = prompts.prompt_stats(_documents(spark, sf), I.SPEC, "text")
+    stats = prompts.prompt_stats(_documents(spark, sf), I.PROMPTS, "text")
     return stats.withColumn("avg_user_chars", rounded("avg_user_chars"))
 
 
@@ -326,7 +330,7 @@ def _classified(spark, sf) -> DataFrame:
         F.col(CODES).alias("expected_codes"),
         ROW_IDS,
     )
-    return infer.to_records(infer.classify(cases, I.SPEC, I.length_model))
+    return infer.to_records(infer.classify(cases, I.PROMPTS, I.length_model))
 
 
 @query
@@ -338,6 +342,31 @@ def classify(spark, sf) -> DataFrame:
     )
 
 
+@query
+def classify_resumed(spark, sf) -> DataFrame:
+    """Asked in waves of four batches by a run that stops after its first wave and is started
+    again; ``n_answers`` are the answers of a case in the log."""
+    log = durable.AnswerLog(f"{shared_folder(spark).rstrip('/')}/surveyqc/checks", uuid.uuid4().hex)
+    cases = prepare.with_obs_key(I.groups(spark, sf)).select(
+        F.col(BASE_ID).alias("id"), "obs_key", F.col(CLEAN).alias("observacion"),
+        F.col(CODES).alias("expected_codes"), ROW_IDS,
+    )
+    key = ["id", "obs_key"]
+
+    def run(**given) -> DataFrame:
+        return durable.classify_in_waves(
+            cases, I.PROMPTS, I.length_model, log, key, batch_size=I.OPTIONS.batch_size, wave_batches=4, **given)
+
+    run(max_waves=1)
+    answered = infer.to_records(run())
+    keyed = answered.withColumn("case_key", F.sha2(F.to_json(F.struct(*key)), 256))
+    n = log.answers(spark).groupBy("case_key").agg(F.count(F.lit(1)).alias("n_answers"))
+    return keyed.join(n, "case_key").select(
+        "id", F.md5("observacion").alias("text_md5"), joined("predicted_codes").alias("predicted"),
+        "raw_response", "error", "n_answers",
+    )
+
+
 @query
 def parse_response(spark, sf) -> DataFrame:
     return infer.parse_responses(I.answers(spark, sf)).select(
@@ -701,8 +730,25 @@ def attempt_parse(spark, sf) -> DataFrame:
 
 @query
 def full_run(spark, sf) -> DataFrame:
-    run = run_review(I.survey(spark, sf), I.OPTIONS, I.SPEC, I.length_model)
+    return _run_rows(spark, sf, I.OPTIONS)
+
+
+def _run_rows(spark, sf, options) -> DataFrame:
+    run = run_review(I.survey(spark, sf), options, I.PROMPTS, I.length_model)
     return run.merged.select(
         ROW_ID, F.md5("OBS_400A").alias("text_md5"), "MATCH_DELITO", "ESTADO_REVISION",
         "JUSTIFICACION_ACIERTO", "DETALLE_ERRORES_MODELO", "RAZONAMIENTO_GENERAL",
     )
+
+
+@query
+def full_run_every_narrative(spark, sf) -> DataFrame:
+    """The run in which all narratives of a household are reviewed, not just the last."""
+    return _run_rows(spark, sf, replace(I.OPTIONS, result_key="id_text"))
+
+
+@query
+def full_run_simple(spark, sf) -> DataFrame:
+    """The run over a flat table: one id, one text, no code."""
+    run = run_review(I.table(spark, sf, "documents"), I.DOCUMENTS, I.PROMPTS, I.length_model)
+    return run.merged.select("doc_id", F.md5("text").alias("text_md5"), "RAZONAMIENTO_GENERAL")

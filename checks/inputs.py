@@ -14,31 +14,27 @@ from pyspark.sql.types import StructType
 from surveyqc import SurveyOptions
 from surveyqc.operators import infer, prepare, reconcile
 from surveyqc.operators.prepare import BASE_ID, CLEAN, CODES, ROW_IDS
-from surveyqc.operators.prompts import Example, PromptSpec
+from surveyqc.operators.prompts import Prompts
 
 OPTIONS = SurveyOptions()
 LOOSE = SurveyOptions(pattern_min_count=3, pattern_min_percent=0.3)
 DOCUMENTS = SurveyOptions.simple(id_col="doc_id", text_col="text", code_col=None)
 
-SPEC = PromptSpec(
-    intro="Eres un clasificador de hechos delictivos narrados en una encuesta.",
-    codes={
-        "2": "Intento de robo de vehículo",
-        "9": "Robo de efectos personales",
-        "23": "Fraude bancario",
-    },
-    rules=[
-        "Solo cuentan los hechos de los últimos 12 meses.",
-        "Sin un hecho descrito no hay código.",
-        "No supongas fechas, lugares ni parentescos.",
-    ],
-    examples=[
-        Example(
-            observation="Le arrebataron el celular cuando caminaba por la calle.",
-            reasoning="1. Hay un robo consumado. 2. Se llevaron un efecto personal.",
-            classifications=[{"codigo": "9", "justificacion": "Celular arrebatado."}],
-        )
-    ],
+#: What the offline classifier is told.
+PROMPTS = Prompts(
+    system="\n".join([
+        "You read what people reported to a housing office and name the kinds of fault in it.",
+        "",
+        "4 = no heating", "11 = water comes in", "17 = noise at night", "26 = lift out of order",
+        "",
+        "A fault that was mended before the report has no kind.",
+        "One report may have several kinds, and each is named once.",
+        "",
+        "Report: the cellar was under water again.",
+        "Kinds: 11",
+    ]),
+    user="Report:\n{text}\n\nKinds, as JSON:",
+    sizes={"rules": 2, "codes": 4, "examples": 1},
 )
 
 

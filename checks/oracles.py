@@ -6,12 +6,21 @@ where the queries clean them per survey row.
 
 from __future__ import annotations
 
-from checks import inputs as I
-from surveyqc.operators.prefixes import KEPT_WORDS
-from surveyqc.operators.prompts import USER_HEAD, USER_TAIL
 
 ORACLES: dict[str, str] = {}
 
+#: What the queries are told, written down once more so that a slip there shows here.
+USER_HEAD, USER_TAIL = "Report:\n", "\n\nKinds, as JSON:"
+SYSTEM_CHARS, N_RULES, N_CODES, N_EXAMPLES = 331, 2, 4, 1
+BATCH_SIZE, MIN_COUNT, MIN_PERCENT, LOOSE_COUNT, LOOSE_PERCENT = 350, 10, 5.0, 3, 0.3
+# Words that keep a phrase from being removed
+KEPT_WORDS = (
+    "ROBO", "ROBO,", "ROBARON", "ROBAN", "ROBAR", "ROBADO", "ROBADA", "ROBOS",
+    "HURTO", "HURTARON", "HURTAN", "HURTAR", "HURTADO", "HURTADA", "HURTOS",
+    "SALTO", "SALTARON", "SALTAN", "SALTAR", "SALTADO", "SALTADA", "SALTOS",
+    "OFENSA", "OFENSAS", "INTENTO", "INTENTARON", "ESTAFA",
+)
+
 WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 WORD, NOT_WORD = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
 LETTERS = "A-Za-zÁÉÍÓÚÜÑáéíóúüñ"
@@ -368,7 +377,7 @@ WHERE NOT list_has_any(string_split(phrase, ' '), {KEPT})
   AND NOT (n = 1 AND {syllable_count('phrase')} <= 2)
 GROUP BY n, phrase""",
 )
-CHOSEN = f"cnt >= {I.LOOSE.pattern_min_count} AND pct >= {I.LOOSE.pattern_min_percent}"
+CHOSEN = f"cnt >= {LOOSE_COUNT} AND pct >= {LOOSE_PERCENT}"
 cte("chosen", ["counts"], f"SELECT * FROM counts WHERE {CHOSEN}")
 oracle("prefix_ngrams", ["grams"], "SELECT doc_id, n, phrase FROM grams")
 oracle(
@@ -422,7 +431,6 @@ FROM stripped""",
 
 # ---- prompts and inference ---------------------------------------------------------
 
-SYSTEM_CHARS = len(I.SPEC.system_prompt())
 USER = f"{lit(USER_HEAD)} || text || {lit(USER_TAIL)}"
 oracle(
     "prompt_render", [],
@@ -434,14 +442,14 @@ oracle(
   CAST(sum(u) AS BIGINT) AS user_chars, round(avg(u), 6) AS avg_user_chars, max(u) AS max_user_chars,
   CAST(sum(u + {SYSTEM_CHARS}) AS BIGINT) AS total_chars,
   CAST(sum((u + {SYSTEM_CHARS}) // 5) AS BIGINT) AS approx_words,
-  CAST({len(I.SPEC.rules)} AS BIGINT) AS n_rules, CAST({len(I.SPEC.codes)} AS BIGINT) AS n_codes,
-  CAST({len(I.SPEC.examples)} AS BIGINT) AS n_examples
+  CAST({N_RULES} AS BIGINT) AS n_rules, CAST({N_CODES} AS BIGINT) AS n_codes,
+  CAST({N_EXAMPLES} AS BIGINT) AS n_examples
 FROM (SELECT length({USER}) AS u FROM documents)""",
 )
 oracle(
     "batch_assign", ["grp"],
     f"""SELECT base AS ID_BASE, md5(t) AS text_md5,
-       (row_number() OVER (ORDER BY base, t) - 1) // {I.OPTIONS.batch_size} + 1 AS batch_id FROM grp""",
+       (row_number() OVER (ORDER BY base, t) - 1) // {BATCH_SIZE} + 1 AS batch_id FROM grp""",
 )
 oracle(
     "expected_norm", [],
@@ -470,6 +478,13 @@ oracle(
   {MODEL} AS raw_response, n % 10 = 7 AS error
 FROM called""",
 )
+oracle(
+    "classify_resumed", ["called"],
+    f"""SELECT base AS id, md5(t) AS text_md5,
+  CASE WHEN n % 10 = 7 THEN '' ELSE CAST(n % 31 + 1 AS VARCHAR) END AS predicted,
+  {MODEL} AS raw_response, n % 10 = 7 AS error, CAST(1 AS BIGINT) AS n_answers
+FROM called""",
+)
 oracle(
     "parse_response", ["parsed"],
     """SELECT id, md5(t) AS text_md5, array_to_string(found, ',') AS codes, said AS reasoning, failed
@@ -721,8 +736,8 @@ cte(
   FROM (SELECT w, unnest(range(1, len(w) + 1)) AS n FROM gw))
 WHERE NOT list_has_any(string_split(phrase, ' '), {KEPT})
   AND NOT (n = 1 AND {syllable_count('phrase')} <= 2)
-GROUP BY n, phrase HAVING count(*) >= {I.OPTIONS.pattern_min_count}
-  AND count(*) / (SELECT count(*) FROM grp) * 100 >= {I.OPTIONS.pattern_min_percent}""",
+GROUP BY n, phrase HAVING count(*) >= {MIN_COUNT}
+  AND count(*) / (SELECT count(*) FROM grp) * 100 >= {MIN_PERCENT}""",
 )
 cte(
     "gordered", ["gchosen"],
@@ -736,14 +751,18 @@ FROM (SELECT base, CASE WHEN len(ps) = 0 THEN s ELSE list_reduce(ps[2:],
         lambda acc, p: {drop_prefix('acc', 'p')}, {squeeze(drop_prefix('s', 'ps[1]'))}) END AS r
       FROM (SELECT base, ps, t AS s FROM grp, gordered))""",
 )
-cte(
-    "asked", ["grp", "gordered"],
-    f"""SELECT base, t, codes, ids, length({lit(USER_HEAD)} || upper(substring(r, 1, 1)) || substring(r, 2) || {lit(USER_TAIL)}) AS n
-FROM (SELECT *, CASE WHEN len(ps) = 0 THEN s ELSE list_reduce(ps[2:],
+
+
+def asked(rows: str, columns: str) -> str:
+    """Cases with their narrative as the model sees it and the length of the prompt."""
+    return f"""SELECT *, length({lit(USER_HEAD)} || upper(substring(r, 1, 1)) || substring(r, 2) || {lit(USER_TAIL)}) AS n
+FROM (SELECT {columns}, CASE WHEN len(ps) = 0 THEN s ELSE list_reduce(ps[2:],
         lambda acc, p: {drop_prefix('acc', 'p')}, {squeeze(drop_prefix('s', 'ps[1]'))}) END AS r
-      FROM (SELECT base, t, codes, ids, ps, t AS s FROM grp, gordered))
-QUALIFY row_number() OVER (PARTITION BY base ORDER BY t DESC) = 1""",
-)
+      FROM (SELECT {columns}, ps, t AS s FROM {rows}, gordered))"""
+
+
+EVERY = asked("grp", "base, t, codes, ids")
+cte("asked", ["grp", "gordered"], f"{EVERY} QUALIFY row_number() OVER (PARTITION BY base ORDER BY t DESC) = 1")
 cte(
     "judged", ["asked"],
     """SELECT *, n % 10 = 7 AS bad, CAST(n % 31 + 1 AS VARCHAR) AS c, string_split(row_id, '-')[-1] AS d
@@ -760,10 +779,23 @@ cte(
   CASE WHEN bad THEN 'Error en procesamiento: sin respuesta' ELSE 'Largo ' || n || '.' END AS reasoning
 FROM judged""",
 )
-oracle(
-    "full_run", ["keyed", "run"],
-    """SELECT k.row_id AS ID_DELITO_IA, md5(k.original) AS text_md5, r.m AS MATCH_DELITO,
+FULL_RUN = """SELECT k.row_id AS ID_DELITO_IA, md5(k.original) AS text_md5, r.m AS MATCH_DELITO,
   coalesce(r.state, 4) AS ESTADO_REVISION, r.why AS JUSTIFICACION_ACIERTO,
   r.detail AS DETALLE_ERRORES_MODELO, r.reasoning AS RAZONAMIENTO_GENERAL
-FROM keyed k LEFT JOIN run r ON k.row_id = r.row_id""",
+FROM keyed k LEFT JOIN run r ON k.row_id = r.row_id"""
+oracle("full_run", ["keyed", "run"], FULL_RUN)
+oracle("full_run_every_narrative", ["keyed", "run"], FULL_RUN, {"asked": EVERY})
+
+# the flat run: phrases are mined over the valid documents
+cte(
+    "flat", ["docs"],
+    f"""SELECT d.doc_id, text, t, list_transform(list_filter(string_split({squeeze('t')}, ' '), lambda w: w <> ''),
+       lambda w: upper(replace(w, 'ß', 'ss')))[1:3] AS w FROM docs d WHERE {gate('t')}""",
+)
+oracle(
+    "full_run_simple", ["docs", "flat", "gordered"],
+    f"""SELECT d.doc_id, md5(d.text) AS text_md5, CASE WHEN d.doc_id IS NULL THEN NULL WHEN a.n IS NULL THEN ''
+  WHEN n % 10 = 7 THEN 'Error en procesamiento: sin respuesta' ELSE 'Largo ' || n || '.' END AS RAZONAMIENTO_GENERAL
+FROM docs d LEFT JOIN ({asked('flat', 'doc_id, t')}) a ON a.doc_id = d.doc_id""",
+    {"gw": "SELECT * FROM flat", "grp": "SELECT * FROM flat"},
 )

@@ -14,7 +14,7 @@ from surveyqc.functions import responses as R
 from surveyqc.functions.codes import empty_codes, sorted_codes
 from surveyqc.functions.text import strip_ws
 from surveyqc.operators.once import with_once
-from surveyqc.operators.prompts import USER_HEAD, USER_TAIL, PromptSpec
+from surveyqc.operators.prompts import Prompts
 from surveyqc.sources.scratch import materialize
 
 # Takes (system, user) prompts of one batch, returns one answer each, in order; an
@@ -56,7 +56,7 @@ def assign_batches(df: DataFrame, order: list[str], batch_size: int) -> DataFram
 
 def classify(
     cases: DataFrame,
-    spec: PromptSpec,
+    prompts: Prompts,
     model: Classifier,
     text_col: str = "observacion",
     key: list[str] | None = None,
@@ -65,12 +65,12 @@ def classify(
 ) -> DataFrame:
     """Ask ``model`` once per case; adds ``raw_response``, ``call_error``, ``timestamp``.
 
-    Only the narrative crosses to Python, in Arrow batches. ``parallelism`` bounds the
+    Only the rendered user prompt crosses to Python, in Arrow batches. ``parallelism`` bounds the
     concurrent callers by spreading the cases over that many partitions by ``key``,
     which should identify a case. Answers cost money and need not repeat: write the
     result once and go on from the written table.
     """
-    system, head, tail = spec.system_prompt(), USER_HEAD, USER_TAIL
+    system = prompts.system
 
     # everything the tasks need is local to this function and travels with it, so the
     # library has to be installed on the driver only
@@ -93,7 +93,7 @@ def classify(
             rows = []
             for start in range(0, len(texts), call_size):
                 part = texts.iloc[start : start + call_size].fillna("")
-                for a in answers_of([(system, head + t + tail) for t in part]):
+                for a in answers_of([(system, t) for t in part]):
                     failed = not isinstance(a, str)
                     rows.append((None if failed else a, str(a) if failed else None,
                                  datetime.now().isoformat()))
@@ -102,7 +102,7 @@ def classify(
     if parallelism:
         cases = cases.repartition(parallelism, *[F.col(c) for c in key or ["id"]])
     return (
-        cases.withColumn("__answer", ask.asNondeterministic()(F.col(text_col)))
+        cases.withColumn("__answer", ask.asNondeterministic()(prompts.user_prompt(F.col(text_col))))
         .withColumn("raw_response", F.col("__answer.raw"))
         .withColumn("call_error", F.col("__answer.error"))
         .withColumn("timestamp", F.col("__answer.timestamp"))

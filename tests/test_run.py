@@ -1,4 +1,5 @@
 import math
+import os
 import sys
 
 import pytest
@@ -7,9 +8,9 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from checks.catalog import QUERIES
-from surveyqc.operators import infer, prepare
+from surveyqc.operators import durable, infer, prepare
 from surveyqc.operators.prepare import ROW_ID
-from surveyqc.operators.prompts import PromptSpec, prompt_stats, render_prompts
+from surveyqc.operators.prompts import Prompts, prompt_stats, render_prompts
 from surveyqc.options import SurveyOptions
 from surveyqc.plans.full_run import run_review
 
@@ -40,7 +41,7 @@ def test_one_record_per_case_in_any_event(spark):
                 '{"razonamiento":"r","clasificaciones":[{"codigo":"9"}]}' for _, user in prompts]
 
     df = cases(spark, ["bien", "mal", "todo mal", "lista", None])
-    got = {r.id: r for r in infer.to_records(infer.classify(df, I.SPEC, model, parallelism=2)).collect()}
+    got = {r.id: r for r in infer.to_records(infer.classify(df, I.PROMPTS, model, parallelism=2)).collect()}
     assert len(got) == 5
     assert (got["0"].predicted_codes, got["0"].error, got["0"].expected_codes) == (["9"], False, ["10", "9"])
     assert got["4"].error is False
@@ -53,21 +54,29 @@ def test_one_record_per_case_in_any_event(spark):
 
 
 def test_wrong_number_of_answers(spark):
-    df = infer.classify(cases(spark, ["a", "b"]), I.SPEC, lambda prompts: ["x", "y", "z"])
+    df = infer.classify(cases(spark, ["a", "b"]), I.PROMPTS, lambda prompts: ["x", "y", "z"])
     assert [r.call_error for r in df.collect()] == ["3 answers for 1 prompts"] * 2
 
 
 def test_prompts(spark):
-    spec = PromptSpec(intro="i", codes={"9": "robo"}, rules=["uno", "dos"])
-    system = spec.system_prompt()
-    assert "- 9: robo" in system and "2. dos" in system
-    df = cases(spark, ["x"])
-    r = render_prompts(df, spec).first()
-    assert r.system_prompt == system and "\n\nx\n\n" in r.user_prompt
-    s = prompt_stats(df, spec).first()
-    assert s.total_chars == len(system) + len(r.user_prompt)
-    assert s.approx_words == s.total_chars // 5
-    assert (s.n_rules, s.n_codes, s.n_examples) == (2, 1, 0)
+    prompts = Prompts("all of it", "« {text} » {x}", {"codes": 7})
+    df = cases(spark, ["x", None])
+    r = render_prompts(df, prompts).orderBy("id").collect()
+    assert [(x.system_prompt, x.user_prompt) for x in r] == [("all of it", "« x » {x}"), ("all of it", "«  » {x}")]
+    s = prompt_stats(df, prompts).first()
+    assert (s.cases, s.system_chars, s.user_chars, s.total_chars, s.n_codes) == (2, 9, 17, 35, 7)
+    assert s.approx_words == (9 + 9) // 5 + (9 + 8) // 5
+    with pytest.raises(ValueError):
+        Prompts("s", "no place for it")
+
+
+def test_prompts_from_columns(spark):
+    """The user prompt may be any expression over the cases."""
+    def with_id(text):
+        return F.concat(F.col("id"), F.lit("|"), F.upper(text))
+
+    got = infer.classify(cases(spark, ["a", "b"]), Prompts("s", with_id), lambda ps: [f"{s}:{u}" for s, u in ps])
+    assert {r.id: r.raw_response for r in got.collect()} == {"0": "s:0|A", "1": "s:1|B"}
 
 
 NARRATIVES = ["le robaron el celular en la calle", "entraron a la casa por la ventana"]
@@ -91,7 +100,7 @@ def states(run):
 
 
 def test_complex_run_keeps_last_narrative_per_id(spark):
-    run = run_review(raw(spark), SurveyOptions(), I.SPEC, echo_model)
+    run = run_review(raw(spark), SurveyOptions(), I.PROMPTS, echo_model)
     assert states(run) == [
         ("1-1-1-2", False, 2), ("1-1-1-4", None, 4), ("1-1-1-9", True, 1), ("1-1-1-9", True, 1),
         ("2-1-1-9", True, 1), ("3-1-1-9", None, 4),
@@ -102,7 +111,7 @@ def test_complex_run_keeps_last_narrative_per_id(spark):
 
 
 def test_complex_run_with_every_narrative(spark):
-    run = run_review(raw(spark), SurveyOptions(result_key="id_text"), I.SPEC, echo_model)
+    run = run_review(raw(spark), SurveyOptions(result_key="id_text"), I.PROMPTS, echo_model)
     assert ("1-1-1-4", False, 5) in states(run) and len(states(run)) == 6
 
 
@@ -110,7 +119,7 @@ def test_simple_run(spark):
     df = spark.createDataFrame(
         [(1, NARRATIVES[0]), (2, NARRATIVES[1]), (3, "corto"), (None, "corto")], "ID int, DESCRIPCION1 string"
     )
-    run = run_review(df, SurveyOptions.simple(), I.SPEC, echo_model)
+    run = run_review(df, SurveyOptions.simple(), I.PROMPTS, echo_model)
     got = {r.ID: r.RAZONAMIENTO_GENERAL for r in run.merged.collect()}
     assert got == {1: "visto", 2: "visto", 3: "", None: None}
     assert {r.ID_DELITO_IA: r.CODIGOS_PREDICHOS for r in run.review.collect()} == {"1": "9", "2": "Ninguno"}
@@ -124,10 +133,104 @@ def test_model_is_asked_once_per_case(spark, tmp_path):
             f.write("x" * len(prompts))
         return echo_model(prompts)
 
-    run = run_review(raw(spark), SurveyOptions(), I.SPEC, counting, parallelism=3)
+    run = run_review(raw(spark), SurveyOptions(), I.PROMPTS, counting, parallelism=3)
     for df in (run.merged, run.issues, run.formats, run.review):
         df.count()
-    assert len(open(log).read()) == 3
+    assert len(open(log).read()) == 2  # the first narrative of household 1 is not used
+
+
+def dies_at(log, path, n):
+    """A model that writes down what it is asked, and kills its worker at the n-th case
+    unless the file at ``path`` says that it was cured."""
+    def model(prompts):
+        for _, user in prompts:
+            with open(log, "a") as f:
+                f.write(user + "\n")
+        if not os.path.exists(path) and sum(1 for _ in open(log)) >= n:
+            os._exit(1)
+        return echo_model(prompts)
+
+    return model
+
+
+def many(spark, n):
+    return spark.range(n).select(
+        F.concat(F.lit("h"), F.col("id").cast("string")).alias("id"), F.lit("k").alias("obs_key"),
+        F.concat(F.lit("caso numero "), F.col("id").cast("string"), F.lit(" en la calle")).alias("observacion"))
+
+
+def test_a_run_that_died_asks_for_nothing_twice(spark, tmp_path):
+    log, cured = str(tmp_path / "asked"), str(tmp_path / "cured")
+    store = durable.AnswerLog(str(tmp_path / "answers"), "r1")
+    asked = dict(batch_size=10, wave_batches=2, parallelism=1, call_size=5)
+
+    def run():
+        return durable.classify_in_waves(many(spark, 100), Prompts("s"), dies_at(log, cured, 70), store, ["id", "obs_key"], **asked)
+
+    with pytest.raises(Exception):
+        run()
+    committed = {r["case_key"] for r in store.answers(spark).collect()}
+    assert store.waves(spark) == [1, 2, 3] and len(committed) == 60
+    before = open(log).read().splitlines()
+    open(cured, "w").close()
+    done = run()
+    assert done.count() == done.select("id").distinct().count() == 100
+    later = open(log).read().splitlines()[len(before):]
+    assert len(later) == 40 and len(set(later)) == 40
+    assert len(set(before[:60]) & set(later)) == 0  # three waves of 20
+    assert store.waves(spark) == [1, 2, 3, 4, 5]
+    assert [tuple(r) for r in store.commits(spark).orderBy("wave").collect()] == [(w, 2, 20, 0) for w in range(1, 6)]
+    # a third start has nothing to ask, a new case is asked alone
+    run().count()
+    assert len(open(log).read().splitlines()) == len(before) + 40
+    more = durable.classify_in_waves(many(spark, 101), Prompts("s"), dies_at(log, cured, 70), store, ["id", "obs_key"], **asked)
+    assert more.count() == 101
+    assert open(log).read().splitlines()[len(before) + 40:] == ["caso numero 100 en la calle"]
+
+
+def test_written_but_not_committed_is_asked_again(spark, tmp_path):
+    store = durable.AnswerLog(str(tmp_path / "answers"), "r1")
+    rest = spark.createDataFrame([("x", "stale", None, "t", 1)], "case_key string, raw_response string, call_error string, timestamp string, batch_id long")
+    rest.write.parquet(store._path("answers/000001"))
+    assert store.answers(spark).count() == 0
+    got = durable.classify_in_waves(many(spark, 5), Prompts("s"), echo_model, store, ["id", "obs_key"])
+    assert got.count() == 5 and store.answers(spark).filter("raw_response = 'stale'").count() == 0
+
+
+def test_errors_are_answers_unless_asked_again(spark, tmp_path):
+    store = durable.AnswerLog(str(tmp_path / "answers"), "r 1")
+    rows = [("a", None), ("a", None), (None, "b"), ("c", "d")]
+    df = spark.createDataFrame(rows, "id string, obs_key string").withColumn("observacion", F.coalesce("id", F.lit("none")))
+    key = ["id", "obs_key"]
+
+    def fails(prompts):
+        return [RuntimeError("no") if u == "c" else "first" for _, u in prompts]
+
+    def well(prompts):
+        return ["second" for _ in prompts]
+
+    def said(df):
+        return sorted((r.id or "", r.obs_key or "", r.raw_response or r.call_error) for r in df.collect())
+
+    first = durable.classify_in_waves(df, Prompts("s"), fails, store, key)
+    assert said(first) == [("", "b", "first"), ("a", "", "first"), ("a", "", "first"), ("c", "d", "no")]
+    assert said(durable.classify_in_waves(df, Prompts("s"), well, store, key))[3] == ("c", "d", "no")
+    again = durable.classify_in_waves(df, Prompts("s"), well, store, key, again_after_errors=True)
+    assert said(again) == [("", "b", "first"), ("a", "", "first"), ("a", "", "first"), ("c", "d", "second")]
+    empty = durable.classify_in_waves(df.limit(0), Prompts("s"), well, durable.AnswerLog(store.folder, "r2"), key)
+    assert empty.count() == 0
+
+
+def test_a_whole_run_goes_on(spark, tmp_path):
+    log, cured = str(tmp_path / "asked"), str(tmp_path / "cured")
+    given = dict(run_id="week 1", answers=str(tmp_path / "answers"), wave_batches=1)
+    options = SurveyOptions(result_key="id_text", batch_size=1)
+    with pytest.raises(Exception):
+        run_review(raw(spark), options, I.PROMPTS, dies_at(log, cured, 3), **given)
+    open(cured, "w").close()
+    run = run_review(raw(spark), options, I.PROMPTS, dies_at(log, cured, 3), **given)
+    assert states(run) == states(run_review(raw(spark), options, I.PROMPTS, echo_model))
+    assert run.run_id == "week 1" and open(log).read().count("Report:") == 4
 
 
 def test_run_with_a_hot_household(spark):
@@ -139,9 +242,9 @@ def test_run_with_a_hot_household(spark):
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 900).alias("P424_ID"),
         F.when(F.col("id") % 2 == 0, NARRATIVES[0]).otherwise(NARRATIVES[1]).alias("OBS_400A"),
     )
-    plain = run_review(rows, SurveyOptions(result_key="id_text"), I.SPEC, echo_model)
+    plain = run_review(rows, SurveyOptions(result_key="id_text"), I.PROMPTS, echo_model)
     spread = run_review(
-        rows, SurveyOptions(result_key="id_text", hot_key_rows=20), I.SPEC, echo_model
+        rows, SurveyOptions(result_key="id_text", hot_key_rows=20), I.PROMPTS, echo_model
     )
     assert "__salts" in plan(spread.merged)
     a, b = plain.merged, spread.merged
