@@ -23,6 +23,7 @@ from surveyqc.operators import (
 from surveyqc.operators.prepare import BASE_ID, CLEAN, CODES, ROW_ID, ROW_IDS
 from surveyqc.options import SurveyOptions, check_columns
 from surveyqc.plans.full_run import run_review
+from surveyqc.sources import files
 from surveyqc.sources.scratch import shared_folder
 
 QUERIES = {}
@@ -407,6 +408,31 @@ def unreadable_lines(spark, sf) -> DataFrame:
     )
 
 
+def _line_files(spark, sf) -> DataFrame:
+    """The batch lines written to files, in the order of their text, and read back."""
+    path = f"{shared_folder(spark).rstrip('/')}/surveyqc/lines-{uuid.uuid4().hex}"
+    lines = I.lines(spark, sf).select("file", "value").repartition("file")
+    lines.sortWithinPartitions("file", "value").write.partitionBy("file").text(path)
+    return files.read_lines(spark, f"{path}/*")
+
+
+@query
+def reading_errors(spark, sf) -> DataFrame:
+    lines = _line_files(spark, sf)
+    errors = reconcile.reading_errors(reconcile.load_records(lines), lines)
+    return errors.withColumn("file", F.regexp_extract("file", "/file=([^/]+)/", 1))
+
+
+@query
+def format_dist_lines(spark, sf) -> DataFrame:
+    """Classes of the records of line files, unreadable lines among them."""
+    lines = _line_files(spark, sf)
+    loaded = reconcile.load_records(lines)
+    classed = triage.with_format_class(reconcile.records_of(loaded))
+    dist = triage.format_distribution(classed, reconcile.reading_errors(loaded, lines))
+    return dist.withColumn("pct", rounded("pct"))
+
+
 @query
 def id_normalize(spark, sf) -> DataFrame:
     return _loaded(spark, sf).select("file", F.md5("pos").alias("pos_md5"), "status", "id")

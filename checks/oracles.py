@@ -528,6 +528,25 @@ FROM (SELECT *, CASE WHEN h % 37 = 5 THEN '{"id":null,"case_id":"' WHEN h % 6 =
         ',"razonamiento_modelo":"' || reasoning || ' Pasada ' || pass || '","raw_response":' || to_json(raw) || '}' AS line
       FROM lns WHERE status = 'bad_json')""",
 )
+cte(
+    "texts", ["lns"],
+    """SELECT *, named || raw_json || '"}' AS line FROM (SELECT *, CASE WHEN h % 37 = 5 THEN '{"id":null,"case_id":"' WHEN h % 6 = 4 THEN '{"case_id":"'
+        WHEN h % 6 = 5 THEN '{"id_observacion":"' ELSE '{"id":"' END || sent || '","observacion":' || to_json(t) ||
+        ',"razonamiento_modelo":"' || reasoning || ' Pasada ' || pass || '","raw_response":"' AS named,
+        substring(to_json(raw), 2, length(to_json(raw)) - 2) AS raw_json FROM lns)""",
+)
+cte(
+    "numbered", ["texts"],
+    """SELECT *, row_number() OVER (PARTITION BY file ORDER BY sent_line) AS linea
+FROM (SELECT *, CASE WHEN h % 41 = 3 THEN named || raw_json WHEN h % 43 = 2 THEN '[1]' WHEN h % 61 = 6 THEN '17' ELSE line END AS sent_line
+      FROM texts)""",
+)
+oracle(
+    "reading_errors", ["numbered"],
+    """SELECT file, linea, 'Invalid control character at: line 1 column ' || (length(sent_line) + 1) || ' (char ' || length(sent_line) || ')' AS error,
+  substring(sent_line, 1, 100) AS contenido_parcial, 'Error de Lectura' AS format_name
+FROM numbered WHERE status = 'bad_json'""",
+)
 oracle(
     "id_normalize", ["lns"],
     """SELECT file, md5(t) AS pos_md5, status, CASE WHEN status = 'ok' THEN sent END AS id FROM lns""",
@@ -587,6 +606,21 @@ FROM (SELECT *, contains(lower(reasoning), 'fallback') AS f,
 NAMED = """CASE class WHEN 'A' THEN 'Formato A: Perfecto' WHEN 'B' THEN 'Formato B: Fallback Recuperable'
   WHEN 'C' THEN 'Formato C: Fallback Truncado' WHEN 'D' THEN 'Formato D: Inconsistente'
   ELSE 'Formato E: Otro' END AS format_name"""
+cte(
+    "lclassed", ["lns", "details"],
+    """SELECT *, CASE WHEN NOT f AND filled THEN 'A' WHEN f AND filled THEN 'B' WHEN f AND NOT ok THEN 'C'
+       WHEN NOT f THEN 'D' ELSE 'E' END AS class
+FROM (SELECT l.status, d.ok, contains(lower(l.reasoning), 'fallback') AS f,
+             coalesce(d.kind = 'OBJECT' AND len(d.items) > 0, false) AS filled
+      FROM lns l JOIN details d ON d.id = l.id AND d.t = l.t)""",
+)
+oracle(
+    "format_dist_lines", ["lclassed"],
+    f"""SELECT class AS format_class, {NAMED}, n, round(n / (SELECT count(*) FROM lclassed WHERE status = 'ok') * 100, 6) AS pct
+FROM (SELECT class, count(*) AS n FROM lclassed WHERE status = 'ok' GROUP BY class)
+UNION ALL SELECT NULL, 'Error de Lectura', count(*), round(count(*) / (SELECT count(*) FROM lclassed WHERE status = 'ok') * 100, 6)
+FROM lclassed WHERE status = 'bad_json'""",
+)
 oracle("format_class", ["classed"], f"SELECT id, class AS format_class, {NAMED} FROM classed")
 oracle(
     "format_dist", ["classed"],

@@ -6,8 +6,9 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from surveyqc.functions import json as J
 from surveyqc.functions import responses as R
@@ -24,17 +25,28 @@ Classifier = Callable[[list[tuple[str, str]]], list]
 ANSWER = "raw string, error string, timestamp string"
 
 
+#: Characters of a text that decide which range it falls into.
+HEAD_CHARS = 64
+
+
+def _head(df: DataFrame, name: str) -> Column:
+    """What is no more than a text's start sorts texts as far as it goes."""
+    return F.substring(name, 1, HEAD_CHARS) if df.schema[name].dataType == StringType() else F.col(name)
+
+
 def assign_batches(df: DataFrame, order: list[str], batch_size: int) -> DataFrame:
     """Add ``batch_id``: contiguous batches of ``batch_size`` in the given order, from 1.
 
-    Rows are range-partitioned, sorted and written once together with their partition
-    and their position in it. The number of rows before each partition is a running sum
+    Rows are range-partitioned by the order columns, of texts only by the first
+    ``HEAD_CHARS`` characters, so no narrative is sampled to the driver; whole texts order
+    the rows inside a partition. They are written once with their partition and their
+    position in it. The number of rows before each partition is a running sum
     over one row per partition; that small table (as many rows as partitions) is joined
     back. No task sees more than its own partition, and as partition and position are
     stored, a lost executor cannot renumber rows.
     """
     placed = materialize(
-        df.repartitionByRange(*[F.col(c) for c in order])
+        df.repartitionByRange(*[_head(df, c) for c in order])
         .sortWithinPartitions(*order)
         .withColumn("__part", F.spark_partition_id())
         .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)),

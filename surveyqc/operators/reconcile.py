@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from surveyqc.functions import json as J
 from surveyqc.functions import responses as R
@@ -11,6 +13,7 @@ from surveyqc.functions.codes import empty_codes
 from surveyqc.operators.once import with_once
 from surveyqc.operators.prepare import BASE_ID, OBS_KEY, ROW_ID, ROW_IDS
 from surveyqc.operators.skew import salted_join
+from surveyqc.sources.files import with_line_numbers
 
 # Fields under which foreign files may carry the id, in order
 ID_FIELDS = ("id", "case_id", "id_observacion")
@@ -21,6 +24,7 @@ RECORD = (
     "timestamp string, error boolean"
 )
 
+READING_ERROR = "Error de Lectura"  # fixed value: class of unreadable lines
 OK, BAD_JSON, NO_ID, OTHER = "ok", "bad_json", "no_id", "other_error"
 
 
@@ -58,6 +62,40 @@ def unreadable_lines(loaded: DataFrame, width: int = 100) -> DataFrame:
     )
 
 
+def _json_error(line: Column) -> Column:
+    """What a strict parser says of a line and the place it stopped at."""
+
+    @F.pandas_udf(StringType())
+    def said(lines: pd.Series) -> pd.Series:
+        import json
+
+        def one(text: str) -> str:
+            try:
+                json.loads(text + "\n")
+            except ValueError as e:
+                return str(e)
+            except RecursionError:
+                return "nested too deeply"
+            return "repeated key, or a number that JSON does not have"
+
+        return lines.map(one)
+
+    return said(line)
+
+
+def reading_errors(loaded: DataFrame, lines: DataFrame, width: int = 100) -> DataFrame:
+    """Every line that is no JSON, as a class of its own next to the response classes: file,
+    ``linea`` (its number), ``error`` (message and position, at most ``width`` characters)
+    and the start of the line. Only such lines go to Python, for the message. ``lines`` are
+    the rows of :func:`surveyqc.sources.files.read_lines` that ``loaded`` was made of."""
+    bad = with_line_numbers(loaded.filter(F.col("status") == BAD_JSON), lines)
+    return bad.select(
+        "file", "linea", F.substring(_json_error(F.col("value")), 1, width).alias("error"),
+        F.substring("value", 1, width).alias("contenido_parcial"),
+        F.lit(READING_ERROR).alias("format_name"),
+    )
+
+
 def records_of(loaded: DataFrame) -> DataFrame:
     """Fields of the readable records that have an id."""
     order = [c for c in loaded.columns if c not in ("value", "status", "id")]

@@ -173,3 +173,36 @@ def test_hot_group_members(spark):
 def test_group_identity_is_exact(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x "), ("a", "x")], f"{BASE_ID} string, {CLEAN} string")
     assert prepare.with_obs_key(df).select(OBS_KEY).distinct().count() == 2
+
+
+def test_line_numbers_over_many_splits(spark, tmp_path):
+    """Two files cut into many splits, with empty lines; numbers as an editor shows them."""
+    import json
+    import random
+
+    rng = random.Random(1)
+    broken = ['{"id":"1"', "{'a':1}", "nothing", '{"a":"x', '{"a":1,"a":2}', '[1,2', '{"id":NaN}', "{}x", "ñ{"]
+    want = {}
+    for name in ("resultados_lote_1.jsonl", "resultados_lote_2.jsonl"):
+        rows = [rng.choice([*broken, "", '{"id":"%d","observacion":"%s"}' % (k, "ñ" * rng.randint(0, 40))]) for k in range(3000)]
+        (tmp_path / name).write_text("".join(r + "\n" for r in rows), encoding="utf-8")
+        for number, row in enumerate(rows, 1):
+            try:
+                json.loads(row)
+                if row in ('{"a":1,"a":2}', '{"id":NaN}'):
+                    want[name, number] = (row, "repeated key, or a number that JSON does not have")
+            except ValueError:
+                try:
+                    json.loads(row + "\n")
+                except ValueError as e:
+                    want[name, number] = (row, str(e)[:100])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        lines = files.read_batches(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 8
+        got = reconcile.reading_errors(reconcile.load_records(lines), lines).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert {(r["file"].rsplit("/", 1)[1], r["linea"]): (r["contenido_parcial"], r["error"]) for r in got} == want
+    assert len(got) == len(want) and {r["format_name"] for r in got} == {"Error de Lectura"}
