@@ -778,3 +778,12 @@ def full_run_simple(spark, sf) -> DataFrame:
     """The run over a flat table: one id, one text, no code."""
     run = run_review(I.table(spark, sf, "documents"), I.DOCUMENTS, I.PROMPTS, I.length_model)
     return run.merged.select("doc_id", F.md5("text").alias("text_md5"), "RAZONAMIENTO_GENERAL")
+
+
+@query
+def run_reports(spark, sf) -> DataFrame:
+    """The numbers of a run, counted while its tables are written."""
+    run = run_review(I.survey(spark, sf), I.OPTIONS, I.PROMPTS, I.length_model)
+    folder = f"{shared_folder(spark).rstrip('/')}/surveyqc/out-{uuid.uuid4().hex}"
+    found = run.write(folder).rows()
+    return spark.createDataFrame(found, "report string, name string, value double").withColumn("value", rounded("value"))

@@ -833,3 +833,42 @@ oracle(
 FROM docs d LEFT JOIN ({asked('flat', 'doc_id, t')}) a ON a.doc_id = d.doc_id""",
     {"gw": "SELECT * FROM flat", "grp": "SELECT * FROM flat"},
 )
+
+# ---- reports of the run: name and value, one row each ------------------------------
+
+cte(
+    "every", ["grp", "gordered"],
+    f"SELECT *, upper(substring(r, 1, 1)) || substring(r, 2) AS seen FROM ({EVERY})",
+)
+cte(
+    "numbers", ["every", "gchosen", "asked", "run", "keyed", "valid"],
+    """SELECT (SELECT count(*) FROM valid) AS v, (SELECT count(*) FROM every) AS c,
+  (SELECT count(*) FROM every WHERE t <> seen) AS changed,
+  (SELECT sum(length(t)) FROM every) AS was, (SELECT sum(length(seen)) FROM every) AS now,
+  (SELECT count(*) FROM asked) AS records, (SELECT count(*) FROM asked WHERE n % 10 NOT IN (3, 7)) AS a,
+  (SELECT count(*) FROM run) AS unnested, (SELECT count(*) FROM run WHERE m) AS hits,
+  (SELECT count(*) FROM keyed) AS total,
+  (SELECT count(r.m) FROM keyed k JOIN run r ON k.row_id = r.row_id) AS analysed,
+  (SELECT count(*) FROM keyed k JOIN run r ON k.row_id = r.row_id WHERE r.m) AS good""",
+)
+REPORTED = {
+    "groups": {"rows": "v", "cases": "c", "reduction": "v - c", "reduction_pct": "(v - c) / v * 100"},
+    "prefixes": {
+        "processed": "c", "cleaned": "changed", "cleaned_pct": "changed / c * 100",
+        "reduction_pct": "(was - now) / was * 100",
+        **{f"patterns_{k}": f"(SELECT count(*) FROM gchosen WHERE n = {k})" for k in (1, 2, 3)},
+    },
+    "reconciled": {"records": "records", "unnested": "unnested", "issues": "0"},
+    "formats": {"A_records": "a", "A_pct": "a / records * 100", "D_records": "records - a",
+                "D_pct": "(records - a) / records * 100"},
+    "review": {"rows": "unnested", "matches": "hits", "match_pct": "hits / unnested * 100",
+               "false_negatives": "unnested - hits"},
+    "merge": {"rows": "total", "analysed": "analysed", "matches": "good", "match_pct": "good / analysed * 100",
+              "coverage_pct": "analysed / total * 100", "unknown_ids": "0", "analysis_coverage_pct": "100"},
+}
+oracle(
+    "run_reports", ["numbers"],
+    " UNION ALL ".join(
+        f"SELECT '{report}' AS report, '{name}' AS name, round(CAST({value} AS DOUBLE), 6) AS value FROM numbers"
+        for report, names in REPORTED.items() for name, value in names.items()),
+)

@@ -135,10 +135,15 @@ def with_details(records: DataFrame) -> DataFrame:
     )
 
 
+def listed_and_parsed() -> tuple[Column, Column]:
+    """Codes of a record's list and codes of its detail map, both sorted."""
+    listed = F.array_sort(F.array_distinct(F.coalesce("predicted_codes", empty_codes())))
+    return listed, F.array_sort(F.map_keys("details"))
+
+
 def parse_issues(detailed: DataFrame) -> DataFrame:
     """Records whose code list and detail map name different codes."""
-    listed = F.array_sort(F.array_distinct(F.coalesce("predicted_codes", empty_codes())))
-    parsed = F.array_sort(F.map_keys("details"))
+    listed, parsed = listed_and_parsed()
     return detailed.select(
         "id", listed.alias("codes_list"), parsed.alias("codes_parsed")
     ).filter(F.col("codes_list") != F.col("codes_parsed"))

@@ -139,6 +139,48 @@ def test_model_is_asked_once_per_case(spark, tmp_path):
     assert len(open(log).read()) == 2  # the first narrative of household 1 is not used
 
 
+@pytest.mark.parametrize("key", ["id", "id_text"])
+def test_reports_are_those_of_the_tables(spark, tmp_path, key):
+    """Counted while the tables are written, against the operators on the finished tables."""
+    from surveyqc.operators import merge, prefixes, reconcile, review, triage
+
+    options = SurveyOptions(result_key=key, pattern_min_count=2, pattern_min_percent=10.0)
+    run = run_review(raw(spark), options, I.PROMPTS, echo_model)
+    reports = run.write(str(tmp_path / "out"))
+    out = {name: spark.read.parquet(str(tmp_path / "out" / name)) for name in ("records", "review", "merged")}
+    assert out["merged"].exceptAll(run.merged).count() == run.merged.exceptAll(out["merged"]).count() == 0
+    v = review.review_stats(out["review"]).first()
+    assert list(reports.review.values()) == [v.total_records, v.matches, v.match_rate, v.false_negatives]
+    keyed = prepare.with_keys(raw(spark), options)
+    m = merge.merge_stats(out["merged"], out["review"], keyed).first()
+    assert reports.merge == {
+        "rows": m.total_rows, "analysed": m.records_with_analysis, "matches": m.successful_matches, "match_pct": m.match_rate,
+        "coverage_pct": m.coverage, "unknown_ids": m.missing_in_original, "analysis_coverage_pct": m.analysis_coverage}
+    for r in triage.format_distribution(run.formats).collect():
+        assert (reports.formats[f"{r.format_class}_records"], reports.formats[f"{r.format_class}_pct"]) == (r.n, r.pct)
+    assert reports.reconciled == {
+        "records": run.unified.count(), "unnested": run.unnested.count(), "issues": reconcile.parse_issues(run.detailed).count()}
+    g = prepare.group_stats(rows_of(spark, options), run.cases).first()
+    assert list(reports.groups.values()) == [g.filas_antes, g.filas_despues, g.reduccion, g.reduccion_pct]
+    texts = run.cases.withColumn("after", prefixes.remove_prefixes(F.col(prepare.CLEAN), run.patterns))
+    p = prefixes.removal_stats(texts, prepare.CLEAN, "after", run.patterns).first()
+    assert list(reports.prefixes.values()) == pytest.approx(
+        [p.total_processed, p.total_cleaned, p.cleaned_pct, p.reduction_pct, p.patterns_1, p.patterns_2, p.patterns_3])
+
+
+def rows_of(spark, options):
+    return prepare.valid_rows(prepare.with_clean_text(prepare.with_keys(raw(spark), options), options), options)
+
+
+def test_reports_of_simple_and_empty_runs(spark, tmp_path):
+    df = spark.createDataFrame([(1, NARRATIVES[0]), (2, NARRATIVES[1]), (3, "corto")], "ID int, DESCRIPCION1 string")
+    simple = run_review(df, SurveyOptions.simple(), I.PROMPTS, echo_model).write(str(tmp_path / "a"))
+    assert simple.merge["rows"] == 3 and simple.merge["analysed"] == 2 and simple.review["rows"] == 2
+    none = run_review(raw(spark).limit(0), SurveyOptions(), I.PROMPTS, echo_model).write(str(tmp_path / "b"))
+    assert none.groups == {"rows": 0, "cases": 0, "reduction": 0, "reduction_pct": None}
+    assert none.formats == {} and none.merge["coverage_pct"] is None
+
+
 def dies_at(log, path, n):
     """A model that writes down what it is asked, and kills its worker at the n-th case
     unless the file at ``path`` says that it was cured."""
