@@ -44,6 +44,9 @@ def framed(payload: bytes) -> bytes:
 
 
 def packed(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
+    """The payload; raises if an id has more than ``width`` bytes."""
+    if len(ids) and int(ids.max()) >> (8 * width):
+        raise ValueError(f"token id {ids.max()} does not fit {width} bytes")
     return struct.pack(_RECORD, doc_id is not None, doc_id or 0, width) + ids.astype(f"<u{width}").tobytes()
 
 
@@ -77,7 +80,8 @@ def _place(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def _encoder(model: str) -> UnitTable:
-    """Ids by the tokenizers library; a text is cut at single spaces so that what repeats is
+    """Ids by the tokenizers library as it is called by default: the string of a special
+    token within a text is that token. A text is cut at single spaces so that what repeats is
     encoded once (see UnitTable), and encoded whole if it has runs of white space."""
     cache = worker_cache("tokenizers")
     key = zlib.crc32(model.encode())
@@ -86,7 +90,6 @@ def _encoder(model: str) -> UnitTable:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(model)
-        tokenizer.encode_special_tokens = True
         encode = lambda units: [
             e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)
         ]

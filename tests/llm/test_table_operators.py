@@ -28,7 +28,7 @@ def test_records_round_trip(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(MODEL)
-    tokenizer.encode_special_tokens = True
+    assert 50256 in tokenizer.encode(ROWS[-1][1], add_special_tokens=False).ids
     got = {r.doc_id: r for r in R.record_round_trip(docs(spark, ROWS), MODEL).collect()}
     start = 0
     for doc_id, text, *_ in sorted(ROWS, key=lambda r: r[0]):
@@ -55,6 +55,12 @@ def test_records_by_the_index_and_damage(spark, tmp_path):
         R.payload_at(f, "x")
 
 
+def test_ids_beyond_the_width():
+    with pytest.raises(ValueError):
+        R.packed(1, np.array([5, 65536], "<u4"), 2)
+    assert R.unpacked(R.packed(1, np.array([5, 65536], "<u4"), 4))[1].tolist() == [5, 65536]
+
+
 def test_records_of_nothing(spark):
     assert R.record_round_trip(docs(spark, []), MODEL).collect() == []
 
