@@ -537,6 +537,18 @@ def recon_summary(spark, sf) -> DataFrame:
     )
 
 
+@query
+def latest_run(spark, sf) -> DataFrame:
+    """Records of two runs written side by side, and of one that never finished; the last
+    finished one is read."""
+    path = f"{shared_folder(spark).rstrip('/')}/surveyqc/runs-{uuid.uuid4().hex}"
+    records = I.records(spark, sf).withColumn("batch_id", F.col("h") % 12 + 1)
+    files.write_run(records.filter(F.col("h") % 2 == 0), path, "2025-01-01")
+    files.write_run(records, path, "2025-01-02")
+    records.limit(0).write.parquet(f"{path}/run_id=2025-01-03")
+    return infer.batch_stats(files.read_latest_run(spark, path))
+
+
 # ---- triage ------------------------------------------------------------------------
 
 

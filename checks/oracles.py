@@ -500,6 +500,8 @@ oracle(
        count(*) FILTER (failed) AS errors FROM parsed GROUP BY 1""",
 )
 
+ORACLES["latest_run"] = ORACLES["batch_stats"]
+
 # ---- unify, reconcile, unnest ------------------------------------------------------
 
 cte(

@@ -81,8 +81,19 @@ def test_runs_side_by_side(spark, tmp_path):
     last = files.read_latest_run(spark, path)
     assert [r.id for r in last.collect()] == ["a"] and last.columns == one.columns
     assert sorted(p.name for p in Path(path).iterdir() if p.is_dir()) == [
-        "run_id=10", "run_id=20250101", "run_id=20250102", "run_id=9"]
+        "_log", "run_id=10", "run_id=20250101", "run_id=20250102", "run_id=9"]
     assert spark.read.parquet(path).count() == 6
+    # an unfinished run is never read, and its rest is replaced
+    one.write.parquet(f"{path}/run_id=99")
+    assert files.read_latest_run(spark, path).count() == 1
+    files.write_run(one.filter("id = 'b'"), path, "99")
+    assert [r.id for r in files.read_latest_run(spark, path).collect()] == ["b"]
+    assert all("run_id=99" in f for f in files.read_latest_run(spark, path).inputFiles())
+    for bad in ("99", "", "a/b"):
+        with pytest.raises(ValueError):
+            files.write_run(one, path, bad)
+    with pytest.raises(FileNotFoundError):
+        files.read_latest_run(spark, str(tmp_path / "none"))
 
 
 def test_problem_sink(spark, tmp_path):
