@@ -1,5 +1,6 @@
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from surveyqc.operators import chat, prepare, reconcile
