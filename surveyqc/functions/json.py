@@ -52,9 +52,7 @@ def strict_variant(text: Column) -> Column:
         F.lit("a JSON value of "), F.octet_length(text).cast("string"),
         F.lit(" bytes is more than a variant holds"),
     )
-    return F.when(in_array.isNotNull() & in_object.isNotNull(), in_object).when(
-        F.coalesce(too_long, F.lit(False)), F.raise_error(message).cast("variant")
-    )
+    return F.when(too_long, F.raise_error(message).cast("variant")).when(in_array.isNotNull(), in_object)
 
 
 def node(v: Column, path: str = ROOT) -> Column:
