@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,3 +33,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/surveyqc/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(*tables: DataFrame) -> None:
+    """Empty tables that :func:`materialize` wrote and that nothing will read again, by
+    writing no rows over them. Other tables are refused."""
+    for df in tables:
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            if not re.search("/surveyqc/[^/]+-[0-9a-f]{32}$", folder):
+                raise ValueError(f"{folder} is no intermediate table")
+            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
