@@ -23,8 +23,9 @@ BUCKETS = 1 << 18
 #: Added to both counts of a bucket, so that rare n-grams say little.
 SMOOTHING = 5.0
 THRESHOLD = -0.1
-#: Rows without an id are dealt out over so many parts when trusted ids are joined.
-NULL_PARTS = 4096
+#: The filter of trusted ids has so many longs, 4 MB; with more ids than its 2^25 bits more
+#: texts pass it and are shuffled, with the same result.
+FILTER_WORDS = 1 << 19
 
 _POSITION = (1 << 31) - 1
 
@@ -97,25 +98,43 @@ def _buckets(h: Column, i: Column, count: int) -> tuple[Column, Column]:
     return own(h), own(h.bitwiseXOR(_next(i, 1)))
 
 
+def _id_filter(ids: DataFrame) -> Column:
+    """A filter of ids: one bit per slot of a hash, as an array of ``FILTER_WORDS`` longs,
+    whatever the number of ids."""
+    slot = F.pmod(F.xxhash64("__id"), F.lit(64 * FILTER_WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    words = ids.groupBy(F.floor(slot / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("bits"))
+    every = ids.sparkSession.range(FILTER_WORDS).select(F.col("id").cast("int").alias("w"))
+    full = every.join(words, "w", "left").agg(
+        F.sort_array(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("a"))
+    return full.select(F.transform("a", lambda x: x["bits"])).scalar()
+
+
+def _counted(texts: DataFrame, name: str, count: int) -> DataFrame:
+    """How often each bucket occurs in the texts."""
+    hashed = with_once(texts, __h=hashes(words(F.col("__text"))))
+    pairs = F.arrays_zip(F.col("__h").alias("h"), F.slice("__h", F.lit(2), F.greatest(F.size("__h"), F.lit(1))).alias("n"))
+    grams = hashed.select(F.inline(pairs).alias("h", "n"))
+    bucket = lambda h: h.bitwiseAND(F.lit(count - 1).cast("long")).cast("int")
+    both = F.array(bucket(F.col("h")), bucket(F.col("h").bitwiseXOR(F.call_function("shiftrightunsigned", F.col("n"), F.lit(13)))))
+    return grams.select(F.explode(both).alias("b")).filter("b is not null").groupBy("b").agg(F.count(F.lit(1)).alias(name))
+
+
 def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, count: int) -> DataFrame:
     """One row with the array of all buckets' log ratios.
 
     ratio = (trusted count + s) / (raw count scaled to the trusted total + s).
+
+    The raw side is counted without a join. For the trusted side only texts that pass a
+    filter of the trusted ids are shuffled to the join with them.
     """
-    ids = (
-        trusted.select(F.col(id_col).cast("long").alias("__id")).filter("__id is not null").distinct()
-        .withColumn("__part", F.lit(0)).withColumn("__trusted", F.lit(1))
-    )
+    ids = trusted.select(F.col(id_col).cast("long").alias("__id")).filter("__id is not null").distinct()
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
-    part = F.when(F.col("__id").isNull(), F.pmod(F.hash("__text"), F.lit(NULL_PARTS))).otherwise(F.lit(0))
-    rows = rows.withColumn("__part", part).join(ids, ["__id", "__part"], "left")
-    rows = with_once(rows, __hashes=hashes(words(F.col("__text"))))
-    single = F.transform("__hashes", lambda h, i: _buckets(h, i, count)[0])
-    double = F.transform("__hashes", lambda h, i: _buckets(h, i, count)[1])
-    counts = (
-        rows.select("__trusted", F.explode(F.concat(single, double)).alias("b"))
-        .filter("b is not null").groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("__trusted").alias("good"))
-    )
+    slot = F.pmod(F.xxhash64("__id"), F.lit(64 * FILTER_WORDS))
+    word = F.get(_id_filter(ids), F.floor(slot / 64).cast("int"))
+    likely = rows.filter(F.col("__id").isNotNull() & (F.call_function("getbit", word, (slot % 64).cast("int")) == 1))
+    good = likely.join(ids.hint("merge"), "__id", "left_semi").select("__text")
+    counts = _counted(rows.select("__text"), "raw", count).join(_counted(good, "good", count), "b", "left")
     every = docs.sparkSession.range(count).select(F.col("id").cast("int").alias("b"))
     full = every.join(counts, "b", "left").select(
         "b", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("good", F.lit(0)).alias("good")
