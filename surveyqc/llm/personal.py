@@ -3,11 +3,12 @@
 Rules find spans of four kinds that are certain. Generators with a high recall propose more
 spans, which may overlap, and each candidate gets features of its format and context. What
 speaks for or against a candidate is told without the rules: cue words, Luhn, valid ranges
-and host names. Those with neither are unlabelled and no examples. The others of all
-documents are counted by feature values (there are at most ``prod(BINS)`` combinations), and
-gradient boosting with trees of two levels is done on those counts. Per kind, the threshold
-is the lowest score whose candidates in the calibration third are right often enough;
-candidates above it that have evidence of their own are added to the rules' spans.
+and host names. Those with neither are unlabelled. The candidates of all documents are
+counted by feature values (there are at most ``prod(BINS)`` combinations), and gradient
+boosting with trees of two levels is done on those counts. Per kind, the threshold is the
+lowest score whose labelled candidates in the calibration third are right often enough.
+Every candidate is judged by its score alone: those above the threshold are added to the
+rules' spans, whatever their label.
 """
 
 from __future__ import annotations
@@ -56,27 +57,68 @@ BINS = {"kind": 4, "digits": 14, "size": 10, "marks": 5, "dots": 5, "plus": 2, "
 ROUNDS = 24
 LEARNING_RATE = 0.4
 PRECISION = 0.9
+#: What a candidate that nothing speaks for or against counts, as a negative, when trees are fitted.
+UNLABELLED = 0.5
 _BLOCK = 256
 
 
-def prefix_sums(a: Column) -> Column:
-    """Running sums of an array of integers, in blocks so that long arrays stay cheap."""
+def _plus(x: Column, y: Column) -> Column:
+    return x + y
+
+
+def _larger(x: Column, y: Column) -> Column:
+    return F.greatest(x, y)
+
+
+def with_running(df: DataFrame, arrays: dict[str, Column], combine=_plus) -> DataFrame:
+    """Adds running sums, or maxima, from 0 of arrays of integers. They are made in blocks, each
+    step a column of its own, so that long arrays stay cheap."""
 
     def running(x, start):
         empty = F.array().cast("array<int>")
-        step = lambda s, v: F.struct((s["t"] + v).alias("t"), F.concat(s["a"], F.array(s["t"] + v)).alias("a"))
+        step = lambda s, v: F.struct(combine(s["t"], v).alias("t"), F.concat(s["a"], F.array(combine(s["t"], v))).alias("a"))
         return F.aggregate(x, F.struct(start.alias("t"), empty.alias("a")), step)["a"]
 
-    total = lambda x: F.aggregate(x, F.lit(0), lambda s, v: s + v)
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(a) - 1) / _BLOCK).cast("int")),
-        lambda i: F.slice(a, i * _BLOCK + 1, _BLOCK),
-    )
-    sums = running(F.transform(blocks, total), F.lit(0))
-    flat = F.flatten(F.transform(
-        blocks, lambda b, i: running(b, F.when(i == 0, F.lit(0)).otherwise(F.get(sums, i - 1)))
-    ))
-    return F.when(F.size(a) > 0, flat).otherwise(F.array().cast("array<int>"))
+    def blocks(a):
+        at = F.sequence(F.lit(0), F.floor((F.size(a) - 1) / _BLOCK).cast("int"))
+        cut = F.transform(at, lambda i: F.slice(a, i * _BLOCK + 1, _BLOCK))
+        return F.when(F.size(a) > 0, cut).otherwise(F.array().cast("array<array<int>>"))
+
+    def joined(name):
+        ends = F.col(f"__ends_of_{name}")
+        return F.flatten(F.transform(
+            f"__blocks_of_{name}", lambda b, i: running(b, F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1)))))
+
+    total = lambda x: F.aggregate(x, F.lit(0), combine)
+    df = with_once(df, **arrays)
+    df = with_once(df, **{f"__blocks_of_{name}": blocks(F.col(name)) for name in arrays})
+    df = with_once(df, **{
+        f"__ends_of_{name}": running(F.transform(f"__blocks_of_{name}", total), F.lit(0)) for name in arrays})
+    df = with_once(df, **{name: joined(name) for name in arrays})
+    return df.drop(*[f"__{part}_of_{name}" for name in arrays for part in ("blocks", "ends")])
+
+
+def _marked(marks: Column, place: int) -> Column:
+    return F.transform(marks, lambda x: F.struct(x.alias("at"), F.lit(place).alias("place"), F.lit(1).alias("mark")))
+
+
+def _with_ranks(df: DataFrame, wanted: dict[str, tuple[Column, Column, bool]]) -> DataFrame:
+    """Adds arrays: for each of the rising points how many marks lie below it (or at it,
+    where the third is true). Both are sorted together and walked once."""
+    none = F.array().cast("array<struct<at:int,place:int,mark:int>>")
+    events, sums = {}, {}
+    for name, (points, marks, at_too) in wanted.items():
+        given = F.transform(points, lambda x: F.struct(x.alias("at"), F.lit(1).alias("place"), F.lit(0).alias("mark")))
+        counted = _marked(marks, 0 if at_too else 2)
+        both = F.sort_array(F.concat(given, counted))
+        events[f"__events_{name}"] = F.when((F.size(points) > 0) & (F.size(marks) > 0), both).otherwise(none)
+        sums[f"__sums_{name}"] = F.transform(f"__events_{name}", lambda e: e["mark"])
+    df = with_running(with_once(df, **events), sums)
+
+    def picked(name):
+        return F.filter(f"__sums_{name}", lambda _, i: F.get(F.col(f"__events_{name}"), i)["mark"] == 0)
+
+    return with_once(df, **{name: picked(name) for name in wanted}).drop(*events, *sums)
 
 
 def _scanned(df: DataFrame, text: str, patterns: dict[str, str], name: str, possible: dict[str, Column]) -> DataFrame:
@@ -96,8 +138,7 @@ def _scanned(df: DataFrame, text: str, patterns: dict[str, str], name: str, poss
         return F.transform(f"__found_{kind}", lambda m, i: F.length(m) + F.length(F.get(gaps, i)))
 
     steps = {f"__ends_{kind}": step(kind) for kind in patterns}
-    df = with_once(df, **steps)
-    df = with_once(df, **{c: prefix_sums(F.col(c)) for c in steps})
+    df = with_running(df, steps)
 
     def span(kind):
         gap = lambda i: F.get(F.col(f"__gaps_{kind}"), i)
@@ -182,16 +223,25 @@ def candidates(df: DataFrame, text: str) -> DataFrame:
     df = with_once(df, **base).drop(*[f"__rule_{k}" for k in KINDS])
     df = _scanned(df, text, GENERATORS, "__may", {"email": loose, "ip": digit, "card": digit, "phone": digit})
 
+    field = lambda array, name: F.transform(array, lambda s: s[name])
+    ranks = {}
+    for kind in KINDS:
+        may, known = f"__may_{kind}", f"__sure_{kind}"
+        ranks[f"__begun_{kind}"] = (field(may, "end"), field(known, "start"), False)
+        ranks[f"__done_{kind}"] = (field(may, "start"), field(known, "end"), True)
+    df = _with_ranks(df, ranks)
+
     def proposed(i, kind):
-        return F.transform(f"__may_{kind}", lambda c: F.struct(
+        begun, done = F.col(f"__begun_{kind}"), F.col(f"__done_{kind}")
+        return F.transform(f"__may_{kind}", lambda c, at: F.struct(
             *_features(i, c), c["start"].alias("start"), c["end"].alias("end"),
-            F.exists(f"__sure_{kind}", lambda s: (s["start"] < c["end"]) & (s["end"] > c["start"])).alias("known"),
+            F.coalesce(F.get(begun, at) > F.get(done, at), F.lit(False)).alias("known"),
             _evidence(kind, c).alias("label"),
         ))
 
     df = with_once(
         df, __base=F.concat(*base), __candidates=F.concat(*[proposed(i, k) for i, k in enumerate(KINDS)]))
-    return df.drop(*base, *[f"__may_{k}" for k in KINDS])
+    return df.drop(*base, *ranks, *[f"__may_{k}" for k in KINDS])
 
 
 class Trees:
@@ -254,25 +304,34 @@ class Trees:
 
 
 def fit(rows: DataFrame) -> tuple[Trees, list[float]]:
-    """Trees and one threshold per kind, from the counts of all labelled candidates."""
+    """Trees and one threshold per kind, from the counts of all candidates.
+
+    Trees are fitted with those without a label as negatives of weight ``UNLABELLED``; the
+    thresholds ask only what share of the labelled candidates above them is right.
+    """
     part = F.pmod(F.xxhash64("c.start", "c.end", *[f"c.{b}" for b in BINS]), F.lit(3)) == 0
     cells = (
-        rows.select(F.explode("__candidates").alias("c")).filter("c.label != 0")
+        rows.select(F.explode("__candidates").alias("c"))
         .groupBy(part.alias("calibrate"), *[F.col(f"c.{b}").alias(b) for b in BINS])
-        .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("c.label") == 1, 1)).alias("positive"))
+        .agg(
+            F.count(F.when(F.col("c.label") == 0, 1)).alias("open"),
+            F.count(F.when(F.col("c.label") != 0, 1)).alias("n"),
+            F.count(F.when(F.col("c.label") == 1, 1)).alias("positive"),
+        )
         .collect()
     )
     cells.sort()
-    table = np.array([[int(v) for v in row] for row in cells], np.int64).reshape(len(cells), len(BINS) + 3)
-    held, x, n, positive = table[:, 0] == 1, table[:, 1:-2], table[:, -2].astype(float), table[:, -1].astype(float)
-    trees = Trees(x[~held], n[~held], positive[~held], list(BINS.values()))
+    table = np.array([[int(v) for v in row] for row in cells], np.int64).reshape(len(cells), len(BINS) + 4)
+    held, x, (unknown, n, positive) = table[:, 0] == 1, table[:, 1:-3], table[:, -3:].T.astype(float)
+    weight = n + UNLABELLED * unknown
+    trees = Trees(x[~held], weight[~held], positive[~held], list(BINS.values()))
     return trees, [threshold(trees.predict(x), n, positive, held & (x[:, 0] == k)) for k in range(len(KINDS))]
 
 
 def threshold(score: np.ndarray, n: np.ndarray, positive: np.ndarray, part: np.ndarray) -> float:
     """The lowest score above which enough candidates are right; infinite if there is none."""
     best = math.inf
-    for s in np.unique(score[part])[::-1]:
+    for s in np.unique(score[part & (n > 0)])[::-1]:
         above = part & (score >= s - 1e-9)
         if positive[above].sum() / (n[above].sum() + 2) >= PRECISION:
             best = float(s) - 1e-6
@@ -293,7 +352,7 @@ def _found(docs: DataFrame, text_col: str, given: dict[str, Column]) -> DataFram
     rows = materialize(candidates(rows, "__text").drop("__text"), "personal-candidates")
     trees, limits = fit(rows)
     limit = F.array(*[F.lit(x) for x in limits])
-    right = lambda c: (c["label"] == 1) & ~c["known"] & (trees.column(c) >= F.get(limit, c["kind"]))
+    right = lambda c: ~c["known"] & (trees.column(c) >= F.get(limit, c["kind"]))
     added = F.transform(
         F.filter("__candidates", right),
         lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
@@ -306,8 +365,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     span_list (the same as sorted structs of kind number, start and end), one row per row.
 
     Spans count code points, the end exclusive, ordered by kind and start. The trees only
-    add spans; a candidate that overlaps a span of its kind, or that nothing speaks for (such
-    as a number without + and without a cue word), adds nothing. A null or empty
+    add spans; a candidate that overlaps a span of its kind, or whose score is below the
+    threshold of its kind, adds nothing. A null or empty
     text has no spans. Without candidates, or where a kind has too few right ones, nothing
     is added. Ids may be null or repeated; every row is answered. Other columns are not read.
     """
@@ -330,14 +389,24 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     ordered = F.transform("__spans", lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e"), s["kind"].alias("k")))
     rows = with_once(found.drop("__base"), __at=F.sort_array(ordered)).drop("__spans")
     mark = lambda k: F.get(F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS]), k)
-    cut = lambda s, x: F.substring(text, s + 1, x - s)
-    step = lambda a, x: F.when(
-        x["s"] >= a["at"],
-        F.struct(F.concat(a["out"], F.array(cut(a["at"], x["s"]), mark(x["k"]))).alias("out"), x["e"].alias("at")),
-    ).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], x["e"]).alias("at")))
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
-    new = F.aggregate("__at", start, step, lambda a: F.concat(
-        F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
+    rows = with_running(rows, {"__max": F.transform("__at", lambda x: x["e"])}, _larger)
+    n = F.size("__at")
+    before = lambda i: F.coalesce(F.get("__max", i - 1), F.lit(0))
+    # a piece is cut from the part of the text that its block of spans covers
+    blocks = F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int"))
+    part = lambda b: F.substring(
+        text, before(b * _BLOCK) + 1, F.get("__max", F.least((b + 1) * _BLOCK, n) - 1) - before(b * _BLOCK))
+    none = F.array().cast("array<string>")
+    rows = with_once(rows, __parts=F.when(n > 0, F.transform(blocks, part)).otherwise(none))
+
+    def piece(x, i):
+        block = F.floor(i / _BLOCK).cast("int")
+        start = before(i) - before(block * _BLOCK)
+        kept = F.substring(F.get("__parts", block), start + 1, x["s"] - before(i))
+        return F.when(x["s"] >= before(i), F.concat(kept, mark(x["k"]))).otherwise(F.lit(""))
+
+    rest = F.substring(text, before(n) + 1, F.length(text))
+    new = F.concat(F.array_join(F.transform("__at", piece), ""), rest)
     return rows.select(
         *[F.col(new_name).alias(c) for new_name, c in names.items()],
         F.when(F.size("__at") > 0, new).otherwise(text).alias("redacted_text"),

@@ -109,6 +109,37 @@ def test_quality_verdict_follows_the_trusted(spark):
     assert {r.kept for r in none} == {False} or {r.score for r in none} != {None}
 
 
+def test_quality_score_against_brute_force(spark):
+    """Score and verdict from the counts of words and pairs of all and of trusted texts, with
+    a long text, a text of one word, and trusted ids that repeat or do not occur."""
+    import math
+    from collections import Counter
+
+    import xxhash
+
+    rng = random.Random(11)
+    words = [f"v{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(words[: 60 + 4 * i], k=80 + i)) for i in range(50)] + ["allein", None, ""]
+    texts.append(" ".join(rng.choices(words, k=20_000)))
+    good = [0, 3, 5, 50, 53, 5]
+    trusted = spark.createDataFrame([(i,) for i in good + [999, None]], "doc_id long")
+    hashed = [[xxhash.xxh64_intdigest(w, 42) for w in WORD.findall(t or "")] for t in texts]
+    grams = [h + [a ^ b >> 13 for a, b in zip(h, h[1:])] for h in hashed]
+    grams = [[x % Q.BUCKETS for x in g] for g in grams]
+    raw, right = Counter(), Counter()
+    for i, g in enumerate(grams):
+        raw.update(g)
+        right.update(g if i in good else [])
+    scale = sum(right.values()) / sum(raw.values())
+    for r in Q.quality_rules(frame(spark, texts), trusted).collect():
+        g = grams[r.doc_id]
+        logs = [math.log((right[x] + Q.SMOOTHING) / (raw[x] * scale + Q.SMOOTHING)) for x in g]
+        want = sum(logs) / max(len(g), 1)
+        assert abs(r.score - want) < 1e-5
+        if abs(want - Q.THRESHOLD) > 1e-5:
+            assert r.kept == (not r.base_failed and want >= Q.THRESHOLD)
+
+
 def test_quality_table_and_threshold_are_whole(spark):
     import inspect
 
@@ -191,12 +222,18 @@ def test_long_runs_take_linear_time(spark):
     assert [r.n_email for r in sorted(got, key=lambda r: r.doc_id)] == [0, 0, 0, 0, 1, 0]
 
 
-def test_prefix_sums_of_long_arrays(spark):
+def test_running_sums_and_maxima_of_long_arrays(spark):
+    from itertools import accumulate
+
     from pyspark.sql import functions as F
 
-    for n in (0, 1, 255, 256, 257, 1000):
-        got = spark.range(1).select(P.prefix_sums(F.array(*[F.lit(1)] * 0).cast("array<int>") if not n else F.array_repeat(F.lit(2), n)).alias("s")).first().s
-        assert got == list(range(2, 2 * n + 1, 2))
+    rng = random.Random(17)
+    rows = [([rng.randrange(1000) for _ in range(n)],) for n in (0, 1, 255, 256, 257, 1000)]
+    df = spark.createDataFrame(rows, "a array<int>")
+    for r in P.with_running(df, {"s": F.col("a")}).collect():
+        assert r.s == list(accumulate(r.a))
+    for r in P.with_running(df, {"s": F.col("a")}, P._larger).collect():
+        assert r.s == list(accumulate(r.a, max))
 
 
 def test_trees_learn_and_threshold():
@@ -235,6 +272,53 @@ def test_personal_data_beyond_the_rules(spark):
         assert got == want[r.doc_id]
 
 
+def test_scores_alone_select(spark, monkeypatch):
+    """A candidate without evidence is added if its score is high, one with evidence is not if
+    its score is low."""
+    texts = ["call 503 555 1234 now", "nur 503-555-12345 hier"]
+    kinds = dict.fromkeys(range(4), float("inf"))
+
+    def trees(cue):
+        rows = P.np.array([[0] * len(P.BINS), [0] * len(P.BINS)])
+        rows[:, 0] = 3
+        rows[0, list(P.BINS).index("cue")] = 1
+        n = P.np.array([50.0, 50.0])
+        return P.Trees(rows, n, n * (rows[:, -1] == cue), list(P.BINS.values()))
+
+    for cue in (0, 1):
+        monkeypatch.setattr(P, "fit", lambda rows, cue=cue: (trees(cue), [kinds[0]] * 3 + [0.0]))
+        got = {r.doc_id: r.spans for r in P.personal_data(frame(spark, texts)).collect()}
+        assert got == ({0: "phone:5:17", 1: ""} if cue else {0: "", 1: "phone:4:17"})
+
+
+def test_many_spans_in_one_text(spark):
+    """Spans and marks of a text with 20,000 addresses, within seconds."""
+    import time
+
+    text = " ".join(f"é{i}@b{i % 7}.org und a{i}@b.de," for i in range(10_000))
+    began = time.time()
+    row = P.redact(frame(spark, [text])).first()
+    found = P.personal_data(frame(spark, [text])).first()
+    assert time.time() - began < 60
+    assert row.redacted_text == redacted(text, found.spans.split(",")) and found.n_email == 20_000
+
+
+def test_overlaps_are_those_of_all_pairs(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(13)
+    rows = []
+    for i in range(60):
+        cuts = [sorted(rng.sample(range(60), 2 * rng.randrange(0, 9))) for _ in range(2)]
+        rows.append((i, *[[(a, b) for a, b in zip(c[::2], c[1::2])] for c in cuts]))
+    df = spark.createDataFrame(rows, "i int, may array<struct<start:int,end:int>>, sure array<struct<start:int,end:int>>")
+    ranks = {"begun": (F.col("may.end"), F.col("sure.start"), False), "done": (F.col("may.start"), F.col("sure.end"), True)}
+    for r in P._with_ranks(df, ranks).collect():
+        want = [any(s[0] < c[1] and s[1] > c[0] for s in r.sure) for c in r.may]
+        got = [a > b for a, b in zip(r.begun, r.done)] or [False] * len(r.may)
+        assert got == want
+
+
 def test_personal_data_of_nothing(spark):
     assert P.personal_data(frame(spark, [])).collect() == []
 
