@@ -10,10 +10,12 @@ any order. The checksum is zlib's CRC-32, masked by rotation and addition.
 
 from __future__ import annotations
 
+import io
 import os
 import struct
 import uuid
 import zlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,10 @@ _MASK = 0xA282EAD8
 _HEAD, _TAIL, _RECORD = "<QI", "<I", "<BqB"
 #: Bytes read from a file at once.
 READ_BYTES = 4 << 20
+#: Files that a task which reads by the index holds open.
+OPEN_FILES = 64
+#: Characters of units that are encoded as one text.
+JOINED_CHARS = 1 << 16
 
 
 def masked(data: bytes) -> int:
@@ -90,13 +96,54 @@ def _encoder(model: str) -> UnitTable:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(model)
-        encode = lambda units: [
-            e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        ]
-        cache[key] = UnitTable(encode, lambda text: [text])
+        cache[key] = UnitTable(partial(_encoded_units, tokenizer, _spaced_ids(tokenizer)), lambda text: [text])
     return cache[key]
 
 
+def _spaced_ids(tokenizer) -> np.ndarray:
+    """Whether the token of an id starts with a space, which byte-level vocabularies write as U+0120."""
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+    spaced[[i for token, i in vocabulary.items() if token[0] == "\u0120"]] = True
+    return spaced
+
+
+def _encoded_units(tokenizer, spaced: np.ndarray, units: list[str]) -> list[np.ndarray]:
+    """Ids of each unit. Those with one space, at their front, and no white space at their end
+    are encoded many at a time as one text: a space there starts a pre-token, whatever is
+    before it, so a unit's ids go from one token with a space in front to the next."""
+    out: list[np.ndarray | None] = [None] * len(units)
+    own, lot, held = [], [], 0
+
+    def one_by_one(places):
+        found = tokenizer.encode_batch_fast([units[i] for i in places], add_special_tokens=False)
+        for i, encoding in zip(places, found):
+            out[i] = np.array(encoding.ids, "<u4")
+
+    def together(places):
+        text = "".join([units[i] for i in places])
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = [*np.flatnonzero(spaced[ids]).tolist(), len(ids)]
+        if ends[0] or len(ends) != len(places) + 1:  # a vocabulary that joins across spaces
+            return one_by_one(places)
+        for i, start, end in zip(places, ends, ends[1:]):
+            out[i] = ids[start:end]
+
+    for i, unit in enumerate(units):
+        if unit.rfind(" ") or unit[-1].isspace():
+            own.append(i)
+            continue
+        lot.append(i)
+        held += len(unit)
+        if held >= JOINED_CHARS:
+            together(lot)
+            lot, held = [], 0
+    if lot:
+        together(lot)
+    one_by_one(own)
+    return out
+
+
 def write_records(
     docs: DataFrame, model_path: str, folder: str, end_id: int = 0, id_col: str = "doc_id",
     text_col: str = "text", width: int = 2,
@@ -174,6 +221,46 @@ def read_records(spark: SparkSession, index: DataFrame, folder: str) -> DataFram
     return files.repartition(n).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def read_shuffled(
+    spark: SparkSession, index: DataFrame, folder: str, seed: int = 0, tasks: int | None = None
+) -> DataFrame:
+    """doc_id and ids of every record in an order that ``seed`` decides, read through the
+    index: records are dealt out at random, and each is read at its own offset.
+
+    One row per index row. A part of the index, such as a sample or some files, reads just
+    those records. A damaged frame raises.
+    """
+    order = F.xxhash64("file", "position", F.lit(seed))
+    places = index.select("file", "offset", "length", order.alias("o"))
+    places = places.repartition(tasks or int(spark.conf.get("spark.sql.shuffle.partitions")), "o").sortWithinPartitions("o")
+
+    def run(batches):
+        store, root = _place(folder)
+        open_files = {}
+        try:
+            for batch in batches:
+                rows = []
+                for name, offset, length in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    if name not in open_files:
+                        if len(open_files) >= OPEN_FILES:
+                            open_files.pop(next(iter(open_files))).close()
+                        open_files[name] = store.open_input_file(f"{root}/{name}")
+                    frame = io.BytesIO(open_files[name].read_at(length, offset))
+                    payload = payload_at(frame, f"{name} at {offset}")
+                    if payload is None:
+                        raise ValueError(f"{name} at {offset}: there is no record")
+                    rows.append(unpacked(payload))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
+                    names=["doc_id", "ids"],
+                )
+        finally:
+            for file in open_files.values():
+                file.close()
+
+    return places.mapInArrow(run, "doc_id long, ids array<long>")
+
+
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     arrays = [pa.array(c, pa.int64()) for c in zip(*rows)]
     return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "n_tokens", "ids_crc32"])

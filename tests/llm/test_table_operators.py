@@ -55,6 +55,45 @@ def test_records_by_the_index_and_damage(spark, tmp_path):
         R.payload_at(f, "x")
 
 
+def test_units_encoded_together():
+    """Ids of many units in one text are those of each text on its own, whatever ends a unit."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(MODEL)
+    with open(MODEL, encoding="utf-8") as f:
+        units = R._encoder(f.read())
+    texts = [
+        "ein Wort und\nein Wort\n", "x\n\n", " vorn", "hinten ", "zwei  Leer", "\u00a0 a \u0120b \u0120", "<|endoftext|> a <|endoftext|>b",
+        "don't 's 1 2 33 \u00e9\u0301 \U0001f600 x", "a" * 200_000 + " b", " ".join(f"w{i}" for i in range(30_000)), "", "\n",
+    ]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in units.encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_units_of_a_vocabulary_that_joins_across_spaces():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(MODEL)
+    units = [" a", " b", " c"]
+    got = R._encoded_units(tokenizer, np.zeros(60_000, bool), units)
+    assert [g.tolist() for g in got] == [tokenizer.encode(u, add_special_tokens=False).ids for u in units]
+
+
+def test_records_in_any_order(spark, tmp_path):
+    rows = ROWS + [(None, "ohne Nummer", "de", "a", 1), (5, "doppelt", "de", "a", 1)]
+    folder = str(tmp_path / "out")
+    index = R.write_records(docs(spark, rows), MODEL, folder)
+    whole = {(r.doc_id, r.n_tokens, r.ids_crc32) for r in R.read_records(spark, index, folder).collect()}
+    for seed in (0, 1):
+        got = R.read_shuffled(spark, index, folder, seed, tasks=2).collect()
+        assert len(got) == len(rows)
+        assert {(r.doc_id, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in got} == whole
+    some = index.filter("n_tokens = 1")
+    assert sorted(r.ids for r in R.read_shuffled(spark, some, folder).collect()) == [[0], [0]]
+    with pytest.raises(Exception, match="damaged"):
+        R.read_shuffled(spark, index.withColumn("offset", F.col("offset") + 1), folder).collect()
+
+
 def test_ids_beyond_the_width():
     with pytest.raises(ValueError):
         R.packed(1, np.array([5, 65536], "<u4"), 2)
