@@ -25,6 +25,8 @@ from surveyqc.llm.common import map_text, texts_of, worker_cache
 #: Entries of each of the two generations of a worker's table of encoded units.
 UNIT_CACHE = 400_000
 CACHED_CHARS = 64
+#: Entries of each of the two generations of a worker's pre-tokens.
+TOKEN_CACHE = 150_000
 #: Bytes of pre-tokens that are merged in one queue, unless one has more.
 QUEUE_BYTES = 1 << 18
 
@@ -93,7 +95,12 @@ class BytePairEncoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.pieces = {i: b for b, i in ranks.items()}
+        self.pieces = [b""] * (max(ranks.values(), default=-1) + 1)
+        for piece, i in ranks.items():
+            self.pieces[i] = piece
+        self.decimals = list(map(str, range(len(self.pieces))))
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
         self.split = regex.compile(pattern)
         self.base = max(ranks.values(), default=0) + 1
         self.queue = RankQueue(self.base)
@@ -154,12 +161,28 @@ class BytePairEncoder:
         return out
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
+        """Ids of each text. Short pre-tokens that took merges are kept in two generations, as
+        they come again in other units, with other signs behind them."""
+        if len(self.young) > TOKEN_CACHE:
+            self.young, self.old = {}, self.young
         split = [self.split.findall(text) for text in texts]
         known: dict[str, list[int]] = {}
         waiting: list[str] = []
         held = 0
+
+        def merged():
+            for token, ids in zip(waiting, self.merge([t.encode() for t in waiting])):
+                known[token] = ids
+                if len(token) <= CACHED_CHARS:
+                    self.young[token] = ids
+
         for token in set().union(*split) if split else ():
+            ids = self.young.get(token)
+            if ids is None and (ids := self.old.get(token)) is not None:
+                self.young[token] = ids
+            if ids is not None:
+                known[token] = ids
+                continue
             raw = token.encode()
             if raw in self.ranks:
                 known[token] = [self.ranks[raw]]
@@ -167,10 +190,10 @@ class BytePairEncoder:
             waiting.append(token)
             held += len(raw)
             if held >= QUEUE_BYTES:
-                known.update(zip(waiting, self.merge([t.encode() for t in waiting])))
+                merged()
                 waiting, held = [], 0
         if waiting:
-            known.update(zip(waiting, self.merge([t.encode() for t in waiting])))
+            merged()
         return [[i for token in tokens for i in known[token]] for tokens in split]
 
     def decode(self, ids: list[int]) -> bytes:
@@ -207,7 +230,7 @@ class UnitTable:
         kept = {u: self.old[u] for u in missing if u in self.old}
         self.young.update(kept)
         missing = list(missing.difference(kept))
-        new = {u: np.array(ids, "<u4").tobytes() for u, ids in zip(missing, self.encode_all(missing))}
+        new = {u: np.asarray(ids, "<u4").tobytes() for u, ids in zip(missing, self.encode_all(missing))}
         self.young.update((u, b) for u, b in new.items() if len(u) <= CACHED_CHARS)
         known = self.young
         if any(len(u) > CACHED_CHARS for u in new):
@@ -242,13 +265,14 @@ def bpe_round_trip(
 
     def make():
         bpe, units = encoder(shared.value, pattern, key)
+        decimals = bpe.decimals.__getitem__
 
         def run(chunk):
             counts, id_digests, text_digests, lists = [], [], [], []
             for raw in units.encode([text.decode() for text in texts_of(chunk.column(1))]):
                 ids = np.frombuffer(raw, "<u4").tolist()
                 counts.append(len(ids))
-                id_digests.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                id_digests.append(hashlib.sha256(",".join(map(decimals, ids)).encode()).hexdigest())
                 text_digests.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
                 if with_ids:
                     lists.append(ids)

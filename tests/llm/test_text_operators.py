@@ -418,3 +418,21 @@ def test_secrets_of_letters_only(spark, encoding):
     assert [s for s in names if find(s)] == []
     for rule in ("=" * 50_000 + "12345", "_" * 50_000 + "1a", "-=" * 20_000 + "1a"):  # ends, in linear time
         find(rule)
+
+
+def test_pre_tokens_kept_over_generations(monkeypatch):
+    """What is kept of earlier calls changes no ids, also while generations are dropped."""
+    from surveyqc.llm import bpe
+
+    monkeypatch.setattr(bpe, "TOKEN_CACHE", 5)
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), encoding="ascii") as f:
+        lines = f.read().splitlines()
+    kept = bpe.BytePairEncoder.from_lines(lines, public_tokenizers.PATTERN)
+    lots = [[f" qxz{i % 7}vw,", f" qxz{i % 5}vw.", f"zzkq{i}" + "y" * 80, ""] for i in range(12)]
+    for lot in [*lots, *lots[::-1], []]:
+        fresh = bpe.BytePairEncoder.from_lines(lines[:], public_tokenizers.PATTERN) if lot is lots[3] else None
+        got = kept.encode_all(lot)
+        assert [kept.decode(ids).decode() for ids in got] == lot
+        if fresh:
+            assert got == fresh.encode_all(lot)
+    assert len(kept.young) <= 5 + 4 * 3
