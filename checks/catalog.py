@@ -447,7 +447,7 @@ def batch_union(spark, sf) -> DataFrame:
 
 def _unified_lines(spark, sf) -> DataFrame:
     return reconcile.last_wins(
-        reconcile.records_of(_loaded(spark, sf)), ["id"], ["file", "pos"]
+        reconcile.records_of(_loaded(spark, sf)), ["id"], ["file", "pos"], place=["file", "pos"]
     )
 
 

@@ -105,14 +105,24 @@ def records_of(loaded: DataFrame) -> DataFrame:
     )
 
 
-def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def last_wins(df: DataFrame, keys: list[str], order: list[str], place: list[str] | None = None) -> DataFrame:
     """Of equal keys the row that comes last in ``order``. Each task first keeps one row
-    per key, so a repeated id is no burden however often it occurs."""
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
-    )
-    return picked.select(*keys, "__row.*")
+    per key, so a repeated id is no burden however often it occurs.
+
+    ``place`` names narrow columns that tell rows apart, such as file and position. With it
+    only keys, order and place are aggregated; the wide rows are shuffled once, by key and
+    place, to meet the winners, so those of one key go to many tasks.
+    """
+    if place is None:
+        rest = [c for c in df.columns if c not in keys]
+        picked = df.groupBy(*keys).agg(
+            F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
+        )
+        return picked.select(*keys, "__row.*")
+    last = df.groupBy(*keys).agg(F.max(F.struct(*order, *[c for c in place if c not in order])).alias("__last"))
+    last = last.select(*[F.col(k).alias(f"__{k}") for k in keys], *[F.col(f"__last.{c}").alias(f"__{c}") for c in place])
+    same = [df[c].eqNullSafe(last[f"__{c}"]) for c in dict.fromkeys([*keys, *place])]
+    return df.join(last, same, "left_semi")
 
 
 def missing_ids(reference: DataFrame, unified: DataFrame) -> DataFrame:

@@ -56,6 +56,27 @@ def test_files_in_path_order_last_wins(spark, tmp_path):
     assert got == {"a": "de dos", "b": "ñ 2"}
 
 
+def test_last_wins_by_place(spark):
+    """One id, or a null one, in a third of all rows: the winner is that of the wide sort."""
+    n = 3000
+    rows = spark.range(n, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None))
+        .otherwise((F.col("id") % 500).cast("string")).alias("id"),
+        (F.xxhash64("id") % 5).alias("file"), F.col("id").alias("pos"),
+        F.repeat(F.lit("x"), 300).alias("observacion"),
+    )
+    wide = reconcile.last_wins(rows, ["id"], ["file", "pos"])
+    narrow = reconcile.last_wins(rows, ["id"], ["file", "pos"], place=["file", "pos"])
+    assert narrow.columns == rows.columns
+    key = lambda r: (r.id or "", r.file, r.pos)
+    assert sorted(map(key, narrow.collect())) == sorted(map(key, wide.collect()))
+    plan = narrow._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan and "max_by" not in plan
+    aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert not any("observacion" in line for line in aggregates)
+    assert reconcile.last_wins(rows.limit(0), ["id"], ["pos"], place=["pos"]).count() == 0
+
+
 def test_batch_folder_patterns(spark, tmp_path):
     import pytest
 
