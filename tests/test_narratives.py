@@ -5,8 +5,9 @@ import re
 from pyspark.sql import functions as F
 
 from surveyqc import SurveyOptions
-from surveyqc.operators import merge, prepare, reconcile
+from surveyqc.operators import durable, merge, prepare, reconcile
 from surveyqc.operators.prepare import BASE_ID, CLEAN, CODES, ROW_ID, ROW_IDS, TEXT_KEY, TEXT_ORDER
+from surveyqc.operators.prompts import Prompts
 
 OPTIONS = SurveyOptions(min_chars=3, min_words=1)
 HEAD = "una historia que empieza igual que otra y que sigue asi sin parar jamas "  # longer than a head
@@ -93,3 +94,25 @@ def test_merge_moves_the_text_by_its_digest(spark):
         assert with_rows(whole) and not with_rows(apart)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rejected_rows_keep_their_original_text(spark):
+    texts = prepare.prepared_texts(survey(spark), OPTIONS)
+    rows = prepare.prepared_rows(survey(spark), texts, OPTIONS)
+    assert "OBS_400A" not in rows.columns and CLEAN not in rows.columns
+    rejected = prepare.rejected_texts(rows, texts, OPTIONS).collect()
+    assert sorted((r.id_delito_ia, r.observacion_original, r[CLEAN]) for r in rejected if r.observacion_original) == [
+        ("3-0-0-7", "x", "x")]
+    assert [(r.id_delito_ia, r[CLEAN]) for r in rejected if r.observacion_original is None] == [("3-0-0-7", "")]
+
+
+def test_waves_fetch_the_texts_of_what_they_ask(spark, tmp_path):
+    texts = spark.createDataFrame([("k1", "uno"), ("k2", "dos"), ("k3", "tres")], "obs_key string, observacion string")
+    cases = spark.createDataFrame(
+        [("a", "k1"), ("b", "k1"), ("a", "k2"), (None, "k2"), ("c", "k1")], "id string, obs_key string")
+    asked = durable.classify_in_waves(
+        cases, Prompts("s", "[{text}]"), lambda pairs: [user for _, user in pairs],
+        durable.AnswerLog(str(tmp_path), "r"), ["id", "obs_key"], batch_size=2, wave_batches=1, texts=texts)
+    got = sorted((r.id or "", r.obs_key, r.raw_response) for r in asked.collect())
+    assert got == [("", "k2", "[dos]"), ("a", "k1", "[uno]"), ("a", "k2", "[dos]"), ("b", "k1", "[uno]"),
+                   ("c", "k1", "[uno]")]
