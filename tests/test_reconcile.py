@@ -239,3 +239,25 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert {(r["file"].rsplit("/", 1)[1], r["linea"]): (r["contenido_parcial"], r["error"]) for r in got} == want
     assert len(got) == len(want) and {r["format_name"] for r in got} == {"Error de Lectura"}
+
+
+def test_a_file_in_parts_has_the_line_numbers_of_one(spark, tmp_path):
+    rest = ',"observacion":"' + "una casa " * 9 + '"'
+    texts = [(f"f{i % 3}", f'{{"id":"{i % 700:04d}-{i}"{rest}' + ("}" if i % 5 else "")) for i in range(3000)]
+    rows = spark.createDataFrame(texts, "file string, value string").repartition(7)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # as for tables that need not be coalesced
+    spark.conf.set(setting, "false")
+    try:
+        files.write_line_parts(rows, f"{tmp_path}/lines")
+    finally:
+        spark.conf.unset(setting)
+    parts = {d.name: [p.stat().st_size for p in d.glob("part-*")] for d in (tmp_path / "lines").glob("file=*")}
+    assert sorted(parts) == ["file=f0", "file=f1", "file=f2"] and max(map(len, parts.values())) > 1
+    assert sum(map(sum, parts.values())) < sum(len(t) + 1 for _, t in texts) / 2
+    lines = files.read_lines(spark, f"{tmp_path}/lines/*", parts=True)
+    got = {(r["file"].rsplit("=")[1], r["linea"], r["value"])
+           for r in files.with_line_numbers(lines, lines).select("file", "linea", "value").collect()}
+    want = {(f, n, t) for f in ("f0", "f1", "f2") for n, t in enumerate(sorted(t for g, t in texts if g == f), 1)}
+    assert got == want
+    bad = reconcile.reading_errors(reconcile.load_records(lines), lines).collect()
+    assert len(bad) == 600 and {(r["file"].rsplit("=")[1], r["linea"], r["contenido_parcial"]) for r in bad} <= {(f, n, t[:100]) for f, n, t in want}
