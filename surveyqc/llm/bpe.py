@@ -13,6 +13,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,9 @@ UNIT_CACHE = 400_000
 CACHED_CHARS = 64
 #: Entries of each of the two generations of a worker's pre-tokens.
 TOKEN_CACHE = 150_000
-#: Bytes of pre-tokens that are merged in one queue, unless one has more.
-QUEUE_BYTES = 1 << 18
+#: Bytes of pre-tokens that are merged in one queue, unless one has more; its lists then stay
+#: in a processor's cache.
+QUEUE_BYTES = 1 << 16
 
 #: White space besides space and line feed, and the mark that units are cut at.
 _OTHER_SPACE = "\0\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
@@ -44,10 +47,15 @@ def vocabulary_lines(spark: SparkSession, path: str) -> list[str]:
 
 
 class RankQueue:
-    """Positions by rank: buckets, and bitmaps over those in use, 64 children to a word."""
+    """Positions by rank: buckets, and bitmaps over those in use, 64 children to a word.
+
+    A bucket is a heap. It is sorted, which leaves it one, and read in order when it is first
+    taken; only if a lower rank comes up before its end is the rest popped one by one.
+    """
 
     def __init__(self, ranks: int):
         self.buckets: dict[int, list[int]] = {}
+        self.left: set[int] = set()
         self.levels: list[list[int]] = []
         while True:
             ranks = (ranks + 63) >> 6
@@ -57,10 +65,14 @@ class RankQueue:
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket is not None:
+        if bucket is None:
+            self.fill(rank, [position])
+        else:
             heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
+
+    def fill(self, rank: int, positions: list[int]) -> None:
+        """A bucket of ascending positions for a rank that has none."""
+        self.buckets[rank] = positions
         for level in self.levels:
             word, bit = rank >> 6, 1 << (rank & 63)
             was = level[word]
@@ -69,6 +81,22 @@ class RankQueue:
                 break
             rank = word
 
+    def take(self, rank: int) -> Iterable[int]:
+        """The positions of a rank in ascending order; :meth:`leave` is told how many were taken."""
+        bucket = self.buckets[rank]
+        if rank in self.left:
+            return map(heapq.heappop, itertools.repeat(bucket, len(bucket)))
+        bucket.sort()
+        return bucket
+
+    def leave(self, rank: int, taken: int) -> None:
+        bucket = self.buckets[rank]
+        if rank not in self.left:
+            del bucket[:taken]
+            self.left.add(rank)
+        if not bucket:
+            self.drop(rank)
+
     def first(self) -> int:
         """The lowest rank with a bucket, -1 if there is none."""
         rank = 0
@@ -82,6 +110,7 @@ class RankQueue:
     def drop(self, rank: int) -> None:
         """Take an empty bucket away."""
         del self.buckets[rank]
+        self.left.discard(rank)
         for level in self.levels:
             word = rank >> 6
             level[word] &= ~(1 << (rank & 63))
@@ -99,12 +128,17 @@ class BytePairEncoder:
         for piece, i in ranks.items():
             self.pieces[i] = piece
         self.decimals = list(map(str, range(len(self.pieces))))
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.split = regex.compile(pattern)
         self.base = max(ranks.values(), default=0) + 1
         self.queue = RankQueue(self.base)
         self.bytes = {b[0]: i for b, i in ranks.items() if len(b) == 1}
+        #: Ranks of two bytes, -1 for none, by their numbers.
+        self.byte_pairs = np.full(1 << 16, -1, np.int64)
+        for b, i in ranks.items():
+            if len(b) == 2 and b[0] in self.bytes and b[1] in self.bytes:
+                self.byte_pairs[b[0] << 8 | b[1]] = i
         self.pairs = {
             ranks[b[:at]] * self.base + ranks[b[at:]]: i
             for b, i in ranks.items() for at in range(1, len(b)) if b[:at] in ranks and b[at:] in ranks
@@ -114,27 +148,29 @@ class BytePairEncoder:
     def from_lines(cls, lines: list[str], pattern: str) -> BytePairEncoder:
         return cls({base64.b64decode(a): int(b) for a, b in map(str.split, lines) if a}, pattern)
 
-    def merge(self, tokens: list[bytes]) -> list[list[int]]:
-        """Ids of each pre-token. All share one queue: no pair crosses a pre-token's end,
-        so the order among pre-tokens changes nothing."""
+    def merge(self, tokens: list[bytes]) -> list[bytes]:
+        """Ids of each pre-token as little-endian 32-bit integers. All share one queue: no pair
+        crosses a pre-token's end, so the order among pre-tokens changes nothing."""
         data = b"".join(tokens)
         base, pair, queue, push = self.base, self.pairs.get, self.queue, self.queue.push
         piece = list(map(self.bytes.__getitem__, data))  # -1 once it is merged away
-        after = list(range(1, len(data) + 1))
-        before = list(range(-1, len(data) - 1))
-        start = 0
-        for token in tokens:
-            before[start] = -1
-            start += len(token)
-            after[start - 1] = -1
-        for i, (a, b) in enumerate(zip(piece, piece[1:])):
-            rank = pair(a * base + b)
-            if rank is not None and after[i] >= 0:
-                push(rank, i)
+        stops = np.cumsum(list(map(len, tokens)))
+        neighbours = np.arange(-1, len(data) + 1)
+        before, after = neighbours[:-2].copy(), neighbours[2:].copy()
+        before[stops[:-1]] = -1
+        after[stops - 1] = -1
+        before, after = before.tolist(), after.tolist()
+        codes = np.frombuffer(data, np.uint8).astype(np.intp)
+        ranks = self.byte_pairs[codes[:-1] << 8 | codes[1:]]
+        ranks[stops[:-1] - 1] = -1
+        order = np.argsort(ranks, kind="stable")
+        order = order[np.count_nonzero(ranks < 0):]
+        if len(order):
+            for positions in np.split(order, np.flatnonzero(np.diff(ranks[order])) + 1):
+                queue.fill(int(ranks[positions[0]]), positions.tolist())
         while (rank := queue.first()) >= 0:
-            bucket, lower = queue.buckets[rank], False
-            while bucket and not lower:
-                i = heapq.heappop(bucket)
+            lower = False
+            for taken, i in enumerate(queue.take(rank), 1):
                 j = after[i]
                 if j < 0 or piece[i] < 0 or pair(piece[i] * base + piece[j]) != rank:
                     continue  # stale: a neighbour's merge has changed this pair
@@ -151,22 +187,26 @@ class BytePairEncoder:
                     if made is not None:
                         push(made, left)
                         lower = lower or made < rank
-            if not bucket:
-                queue.drop(rank)
-        out, start = [], 0
-        for token in tokens:
-            stop = start + len(token)
-            out.append([p for p in piece[start:stop] if p >= 0])
-            start = stop
-        return out
+                if lower:
+                    break
+            queue.leave(rank, taken)
+        rest = np.asarray(piece)
+        ends = (4 * np.cumsum(rest >= 0)[stops - 1]).tolist()
+        ids = rest[rest >= 0].astype("<u4").tobytes()
+        return [ids[start:stop] for start, stop in zip([0, *ends], ends)]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text. Short pre-tokens that took merges are kept in two generations, as
-        they come again in other units, with other signs behind them."""
+        """Ids of each text."""
+        return [np.frombuffer(ids, "<u4").tolist() for ids in self.packed(texts)]
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers. Short pre-tokens that took merges
+        are kept in two generations, as they come again in other units, with other signs behind
+        them. Bytes are kept, which the garbage collector need not look through."""
         if len(self.young) > TOKEN_CACHE:
             self.young, self.old = {}, self.young
         split = [self.split.findall(text) for text in texts]
-        known: dict[str, list[int]] = {}
+        known: dict[str, bytes] = {}
         waiting: list[str] = []
         held = 0
 
@@ -185,7 +225,7 @@ class BytePairEncoder:
                 continue
             raw = token.encode()
             if raw in self.ranks:
-                known[token] = [self.ranks[raw]]
+                known[token] = self.ranks[raw].to_bytes(4, "little")
                 continue
             waiting.append(token)
             held += len(raw)
@@ -194,17 +234,18 @@ class BytePairEncoder:
                 waiting, held = [], 0
         if waiting:
             merged()
-        return [[i for token in tokens for i in known[token]] for tokens in split]
+        return [b"".join(map(known.__getitem__, tokens)) for tokens in split]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
 class UnitTable:
-    """Ids of the units of texts, in two generations so that frequent units stay."""
+    """Ids of the units of texts, in two generations so that frequent units stay. ``packed``
+    gives the ids of each of a list of units as little-endian 32-bit integers."""
 
-    def __init__(self, encode_all, split):
-        self.encode_all, self.split = encode_all, split
+    def __init__(self, packed, split):
+        self.packed, self.split = packed, split
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -230,7 +271,7 @@ class UnitTable:
         kept = {u: self.old[u] for u in missing if u in self.old}
         self.young.update(kept)
         missing = list(missing.difference(kept))
-        new = {u: np.asarray(ids, "<u4").tobytes() for u, ids in zip(missing, self.encode_all(missing))}
+        new = dict(zip(missing, self.packed(missing)))
         self.young.update((u, b) for u, b in new.items() if len(u) <= CACHED_CHARS)
         known = self.young
         if any(len(u) > CACHED_CHARS for u in new):
@@ -243,7 +284,7 @@ def encoder(lines: list[str], pattern: str, key: str) -> tuple[BytePairEncoder,
     cache = worker_cache("bpe")
     if key not in cache:
         made = BytePairEncoder.from_lines(lines, pattern)
-        cache[key] = made, UnitTable(made.encode_all, made.split.findall)
+        cache[key] = made, UnitTable(made.packed, made.split.findall)
     return cache[key]
 
 

@@ -96,10 +96,14 @@ def _encoder(model: str) -> UnitTable:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(model)
-        cache[key] = UnitTable(partial(_encoded_units, tokenizer, _spaced_ids(tokenizer)), lambda text: [text])
+        cache[key] = UnitTable(partial(_packed_units, tokenizer, _spaced_ids(tokenizer)), lambda text: [text])
     return cache[key]
 
 
+def _packed_units(tokenizer, spaced: np.ndarray, units: list[str]) -> list[bytes]:
+    return [ids.tobytes() for ids in _encoded_units(tokenizer, spaced, units)]
+
+
 def _spaced_ids(tokenizer) -> np.ndarray:
     """Whether the token of an id starts with a space, which byte-level vocabularies write as U+0120."""
     vocabulary = tokenizer.get_vocab(with_added_tokens=True)

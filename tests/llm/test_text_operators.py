@@ -436,3 +436,45 @@ def test_pre_tokens_kept_over_generations(monkeypatch):
         if fresh:
             assert got == fresh.encode_all(lot)
     assert len(kept.young) <= 5 + 4 * 3
+
+
+def test_a_bucket_left_for_a_lower_rank_goes_on_in_order():
+    from surveyqc.llm import bpe
+
+    queue = bpe.RankQueue(100)
+    queue.fill(7, [2, 4, 9])
+    queue.push(7, 3)
+    first = [p for p, _ in zip(queue.take(7), range(2))]
+    queue.leave(7, 2)
+    queue.push(5, 1)
+    assert queue.first() == 5 and list(queue.take(5)) == [1]
+    queue.leave(5, 1)
+    queue.push(7, 8)
+    queue.push(7, 1)
+    assert queue.first() == 7 and first + list(queue.take(7)) == [2, 3, 1, 4, 8, 9]
+    queue.leave(7, 4)
+    assert queue.first() == -1 and not queue.buckets and not queue.left
+
+
+def test_merges_that_open_lower_ranks_agree_with_rescanning():
+    """Vocabularies in which a merge makes a pair of a lower rank, against the plain way."""
+    from surveyqc.llm import bpe
+
+    rng = random.Random(4)
+    for _ in range(200):
+        pieces = {"".join(rng.choices("abc", k=rng.randrange(2, 6))) for _ in range(12)}
+        names = [*"abc", *rng.sample(sorted(pieces), len(pieces))]
+        ranks = {name.encode(): i for i, name in enumerate(names)}
+        encoder = bpe.BytePairEncoder(ranks, ".+")
+        tokens = ["".join(rng.choices("abc", k=rng.randrange(1, 40))).encode() for _ in range(5)]
+        want = []
+        for token in tokens:
+            parts = [token[i : i + 1] for i in range(len(token))]
+            while True:
+                made = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+                if not made:
+                    break
+                i = min(made)[1]
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            want.append(b"".join(ranks[p].to_bytes(4, "little") for p in parts))
+        assert encoder.merge(tokens) == want
