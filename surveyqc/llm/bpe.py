@@ -18,6 +18,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -240,43 +241,71 @@ class BytePairEncoder:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
+def is_cut(text: str) -> bool:
+    """Whether the text falls into units in front of its spaces that can be encoded on their own.
+
+    No pre-token has white space behind other characters, so where no space meets other white
+    space, a cut in front of a space parts no pre-token and changes no look-ahead.
+    """
+    return not (
+        text[0] == " " or text[-1] == " " or any(x in text for x in _RUNS) or any(x in text for x in _OTHER_SPACE)
+    )
+
+
 class UnitTable:
     """Ids of the units of texts, in two generations so that frequent units stay. ``packed``
-    gives the ids of each of a list of units as little-endian 32-bit integers."""
+    gives the ids of each of a list of units as little-endian 32-bit integers; texts that are
+    not cut at spaces are given to ``split``."""
 
     def __init__(self, packed, split):
         self.packed, self.split = packed, split
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def units(self, text: str) -> list[str]:
-        """Parts that can be encoded on their own.
-
-        No pre-token has white space behind other characters, so where no space meets
-        other white space, a cut in front of a space parts no pre-token and changes no
-        look-ahead. Other texts are given to ``split``.
-        """
-        if not text:
-            return []
-        if text[0] == " " or text[-1] == " " or any(x in text for x in _RUNS) or any(x in text for x in _OTHER_SPACE):
-            return self.split(text)
-        return text.replace(" ", "\0 ").split("\0")
+    def packed_cut(self, units: list[str]) -> list[bytes]:
+        """As ``packed``, for units that are cut at spaces."""
+        return self.packed(units)
+
+    def known(self, units: list[str], packed) -> list[bytes]:
+        """Ids of each of the units, which differ."""
+        found = list(map(self.young.get, units))
+        missing = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = self.old.get(units[i])
+            if found[i] is None:
+                missing.append(i)
+            else:
+                self.young[units[i]] = found[i]
+        for i, ids in zip(missing, packed([units[i] for i in missing])):
+            found[i] = ids
+            if len(units[i]) <= CACHED_CHARS:
+                self.young[units[i]] = ids
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
+        """Ids of each text as little-endian 32-bit integers. The units of all texts are numbered
+        in Arrow, and each that occurs is looked up once."""
         if len(self.young) > UNIT_CACHE:
             self.young, self.old = {}, self.young
-        parts = [self.units(text) for text in texts]
-        missing = set().union(*parts).difference(self.young) if parts else set()
-        kept = {u: self.old[u] for u in missing if u in self.old}
-        self.young.update(kept)
-        missing = list(missing.difference(kept))
-        new = dict(zip(missing, self.packed(missing)))
-        self.young.update((u, b) for u, b in new.items() if len(u) <= CACHED_CHARS)
-        known = self.young
-        if any(len(u) > CACHED_CHARS for u in new):
-            known = {**known, **new}
-        return [b"".join(map(known.__getitem__, units)) for units in parts]
+        out = [b""] * len(texts)
+        plain = [i for i, text in enumerate(texts) if text and is_cut(text)]
+        if plain:
+            marked = pc.replace_substring(pa.array([texts[i] for i in plain], pa.large_string()), " ", "\0 ")
+            parts = pc.split_pattern(marked, "\0")
+            units = parts.values.dictionary_encode()
+            known = self.known(units.dictionary.to_numpy(zero_copy_only=False).tolist(), self.packed_cut)
+            ids = pa.array(known, pa.large_binary()).take(units.indices)
+            starts = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[parts.offsets.to_numpy()].tolist()
+            data = memoryview(ids.buffers()[2] or b"")
+            for i, start, end in zip(plain, starts, starts[1:]):
+                out[i] = bytes(data[start:end])
+        whole = {i: self.split(text) for i, text in enumerate(texts) if text and not is_cut(text)}
+        if whole:
+            units = list(set().union(*whole.values()))
+            ids = dict(zip(units, self.known(units, self.packed)))
+            for i, parts in whole.items():
+                out[i] = b"".join(map(ids.__getitem__, parts))
+        return out
 
 
 def encoder(lines: list[str], pattern: str, key: str) -> tuple[BytePairEncoder, UnitTable]:

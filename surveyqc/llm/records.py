@@ -11,7 +11,10 @@ any order. The checksum is zlib's CRC-32, masked by rotation and addition.
 from __future__ import annotations
 
 import io
+import json
 import os
+import re
+import string
 import struct
 import uuid
 import zlib
@@ -24,11 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveyqc.llm.bpe import UnitTable
+from surveyqc.llm.bpe import CACHED_CHARS, UnitTable
 from surveyqc.llm.common import chunks, texts_of, worker_cache
 from surveyqc.sources.scratch import materialize, shared_folder
 
 _MASK = 0xA282EAD8
+#: Signs that are one pre-token behind a word; contractions have ', special tokens have <.
+_SIGNS = re.sub("['<]", "", string.punctuation)
+#: Letters and digits, as every Unicode version has it.
+_WORD_ENDS = frozenset(string.ascii_letters + string.digits + "".join(map(chr, range(0xC0, 0x250)))) - {"\u00d7", "\u00f7"}
 #: Layout of a frame's front and end and of a payload's front.
 _HEAD, _TAIL, _RECORD = "<QI", "<I", "<BqB"
 #: Bytes read from a file at once.
@@ -96,26 +103,75 @@ def _encoder(model: str) -> UnitTable:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(model)
-        cache[key] = UnitTable(partial(_packed_units, tokenizer, _spaced_ids(tokenizer)), lambda text: [text])
+        cache[key] = WordTable(tokenizer, json.loads(model))
     return cache[key]
 
 
+class WordTable(UnitTable):
+    """Of units that are not known, the signs behind a word and the lines are taken off where
+    the byte-level pattern starts a pre-token; what is left is kept as units are."""
+
+    def __init__(self, tokenizer, made_of: dict):
+        super().__init__(partial(_packed_units, tokenizer, _spaced_ids(tokenizer)), lambda text: [text])
+        before = made_of.get("pre_tokenizer") or {}
+        self.by_line = (
+            before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+            and not any(made_of.get(x) for x in ("normalizer", "truncation", "padding"))
+            and all("<" in token["content"] for token in made_of.get("added_tokens") or ())
+        )
+
+    def parts(self, unit: str) -> list[str]:
+        """Parts that end where a pre-token does. A single line feed is one, as a unit has no
+        other white space but the space at its front."""
+        if "\n" in unit:
+            if "<" in unit or "\n\n" in unit:
+                return [unit]
+            lines = unit.split("\n")
+            parts = self.parts(lines[0]) if lines[0] else []
+            for line in lines[1:]:
+                first, *others = self.parts(line) if line else [""]
+                parts += ["\n" + first, *others]
+            return parts
+        core = unit.rstrip(_SIGNS)
+        if len(core) == len(unit) or not core or core[-1] not in _WORD_ENDS or "<" in core:
+            return [unit]
+        return [core, unit[len(core):]]
+
+    def packed_cut(self, units: list[str]) -> list[bytes]:
+        if not self.by_line:
+            return self.packed(units)
+        split = list(map(self.parts, units))
+        ids: dict[str, bytes | None] = {}
+        for parts in split:
+            if len(parts) > 1:
+                for part in parts:
+                    if part not in ids:
+                        ids[part] = self.young.get(part) or self.old.get(part)
+            else:
+                ids[parts[0]] = None
+        missing = [part for part, known in ids.items() if known is None]
+        ids.update(zip(missing, self.packed(missing)))
+        self.young.update((part, ids[part]) for part in missing if len(part) <= CACHED_CHARS)
+        return [ids[parts[0]] if len(parts) == 1 else b"".join(map(ids.__getitem__, parts)) for parts in split]
+
+
 def _packed_units(tokenizer, spaced: np.ndarray, units: list[str]) -> list[bytes]:
     return [ids.tobytes() for ids in _encoded_units(tokenizer, spaced, units)]
 
 
 def _spaced_ids(tokenizer) -> np.ndarray:
-    """Whether the token of an id starts with a space, which byte-level vocabularies write as U+0120."""
+    """Whether the token of an id starts with a space or a line feed, which byte-level vocabularies
+    write as U+0120 and U+010A."""
     vocabulary = tokenizer.get_vocab(with_added_tokens=True)
     spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-    spaced[[i for token, i in vocabulary.items() if token[0] == "\u0120"]] = True
+    spaced[[i for token, i in vocabulary.items() if token[0] in "\u0120\u010a"]] = True
     return spaced
 
 
 def _encoded_units(tokenizer, spaced: np.ndarray, units: list[str]) -> list[np.ndarray]:
-    """Ids of each unit. Those with one space, at their front, and no white space at their end
-    are encoded many at a time as one text: a space there starts a pre-token, whatever is
-    before it, so a unit's ids go from one token with a space in front to the next."""
+    """Ids of each unit. Those with one space or line feed, at their front, and no white space at
+    their end are encoded many at a time as one text: it starts a pre-token there, whatever is
+    before it, so a unit's ids go from one token with such a sign in front to the next."""
     out: list[np.ndarray | None] = [None] * len(units)
     own, lot, held = [], [], 0
 
@@ -134,7 +190,7 @@ def _encoded_units(tokenizer, spaced: np.ndarray, units: list[str]) -> list[np.n
             out[i] = ids[start:end]
 
     for i, unit in enumerate(units):
-        if unit.rfind(" ") or unit[-1].isspace():
+        if max(unit.rfind(" "), unit.rfind("\n")) or unit[-1].isspace():
             own.append(i)
             continue
         lot.append(i)

@@ -1,4 +1,5 @@
 import itertools
+import json
 import zlib
 
 import numpy as np
@@ -70,6 +71,26 @@ def test_units_encoded_together():
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_units_are_looked_up_once_and_share_their_words():
+    """A word is encoded once, whatever signs and lines follow it, and ids are those of whole texts."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(MODEL)
+    with open(MODEL, encoding="utf-8") as f:
+        units = R.WordTable(tokenizer, json.load(f))
+    asked, packed = [], units.packed
+    units.packed = lambda some: asked.extend(some) or packed(some)
+    known = units.encode(["x Wortschatz\nWortlaut Ende"])
+    texts = [
+        "x Wortschatz, Wortschatz. Wortschatz;\nWortlaut", "don't, can't. we'll!' he's'", "a.\n\nb, c.\nd\n", "\nvorn. x",
+        "5, 6.7 \u00e9, \u00d7, \u0301. \U0001f600!", "a <|endoftext|>, b<|endoftext|>.\nc <|x,\ny", ".,; ... a-b, \u4e2d.", "x,",
+    ]
+    assert sum("Wortschatz" in unit for unit in asked) == 1
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in known + units.encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in ["x Wortschatz\nWortlaut Ende", *texts]]
+    assert sum("Wortschatz" in unit for unit in asked) == 1
+
+
 def test_units_of_a_vocabulary_that_joins_across_spaces():
     from tokenizers import Tokenizer
 
