@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surveyqc.llm.common import may_be_among
 from surveyqc.operators.once import with_once
 
 #: White space between words, and symbols that are counted; fixed values.
@@ -23,10 +24,6 @@ BUCKETS = 1 << 18
 #: Added to both counts of a bucket, so that rare n-grams say little.
 SMOOTHING = 5.0
 THRESHOLD = -0.1
-#: The filter of trusted ids has so many longs, 4 MB; with more ids than its 2^25 bits more
-#: texts pass it and are shuffled, with the same result.
-FILTER_WORDS = 1 << 19
-
 _POSITION = (1 << 31) - 1
 
 
@@ -98,18 +95,6 @@ def _buckets(h: Column, i: Column, count: int) -> tuple[Column, Column]:
     return own(h), own(h.bitwiseXOR(_next(i, 1)))
 
 
-def _id_filter(ids: DataFrame) -> Column:
-    """A filter of ids: one bit per slot of a hash, as an array of ``FILTER_WORDS`` longs,
-    whatever the number of ids."""
-    slot = F.pmod(F.xxhash64("__id"), F.lit(64 * FILTER_WORDS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
-    words = ids.groupBy(F.floor(slot / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("bits"))
-    every = ids.sparkSession.range(FILTER_WORDS).select(F.col("id").cast("int").alias("w"))
-    full = every.join(words, "w", "left").agg(
-        F.sort_array(F.collect_list(F.struct("w", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("a"))
-    return full.select(F.transform("a", lambda x: x["bits"])).scalar()
-
-
 def _counted(texts: DataFrame, name: str, count: int) -> DataFrame:
     """How often each bucket occurs in the texts."""
     hashed = with_once(texts, __h=hashes(words(F.col("__text"))))
@@ -130,9 +115,7 @@ def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, coun
     """
     ids = trusted.select(F.col(id_col).cast("long").alias("__id")).filter("__id is not null").distinct()
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
-    slot = F.pmod(F.xxhash64("__id"), F.lit(64 * FILTER_WORDS))
-    word = F.get(_id_filter(ids), F.floor(slot / 64).cast("int"))
-    likely = rows.filter(F.col("__id").isNotNull() & (F.call_function("getbit", word, (slot % 64).cast("int")) == 1))
+    likely = rows.filter(F.col("__id").isNotNull() & may_be_among("__id", ids))
     good = likely.join(ids.hint("merge"), "__id", "left_semi").select("__text")
     counts = _counted(rows.select("__text"), "raw", count).join(_counted(good, "good", count), "b", "left")
     every = docs.sparkSession.range(count).select(F.col("id").cast("int").alias("b"))
