@@ -5,8 +5,8 @@ import re
 from pyspark.sql import functions as F
 
 from surveyqc import SurveyOptions
-from surveyqc.operators import durable, merge, prepare, reconcile
-from surveyqc.operators.prepare import BASE_ID, CLEAN, CODES, ROW_ID, ROW_IDS, TEXT_KEY, TEXT_ORDER
+from surveyqc.operators import durable, infer, merge, prepare, reconcile
+from surveyqc.operators.prepare import BASE_ID, CLEAN, CODES, OBS_KEY, ROW_ID, ROW_IDS, TEXT_KEY, TEXT_ORDER
 from surveyqc.operators.prompts import Prompts
 
 OPTIONS = SurveyOptions(min_chars=3, min_words=1)
@@ -116,3 +116,77 @@ def test_waves_fetch_the_texts_of_what_they_ask(spark, tmp_path):
     got = sorted((r.id or "", r.obs_key, r.raw_response) for r in asked.collect())
     assert got == [("", "k2", "[dos]"), ("a", "k1", "[uno]"), ("a", "k2", "[dos]"), ("b", "k1", "[uno]"),
                    ("c", "k1", "[uno]")]
+
+
+def test_texts_are_read_once_however_many_waves(spark, tmp_path):
+    read = str(tmp_path / "read")
+
+    @F.udf("string")
+    def noted(text):
+        with open(read, "a") as f:
+            f.write("x")
+        return text
+
+    rows = [(f"k{i}", f"texto {i}") for i in range(3)]
+    texts = spark.createDataFrame(rows, "obs_key string, observacion string")
+    texts = texts.withColumn("observacion", noted.asNondeterministic()("observacion"))
+    cases = spark.range(24).select(
+        F.col("id").cast("string").alias("id"), F.concat(F.lit("k"), (F.col("id") % 3).cast("string")).alias("obs_key"))
+    store = durable.AnswerLog(str(tmp_path / "answers"), "r")
+    asked = durable.classify_in_waves(
+        cases, Prompts("s", "[{text}]"), lambda pairs: [user for _, user in pairs], store, ["id", "obs_key"],
+        batch_size=2, wave_batches=2, texts=texts)
+    assert {(r.id, r.raw_response) for r in asked.collect()} == {(str(i), f"[texto {i % 3}]") for i in range(24)}
+    assert [tuple(r) for r in store.commits(spark).orderBy("wave").collect()] == [(w, 2, 4, 0) for w in range(1, 7)]
+    assert len(open(read).read()) == 3
+
+
+def keyed_rows(spark, ordered):
+    texts = prepare.dealt_by_key(prepare.valid_rows(prepare.narratives(survey(spark), OPTIONS), OPTIONS))
+    placed = prepare.with_text_order(texts) if ordered else texts
+    return prepare.with_narratives(prepare.with_keys(survey(spark), OPTIONS), placed, OPTIONS), texts
+
+
+def plain_rows(spark):
+    return prepare.valid_rows(prepare.with_clean_text(prepare.with_keys(survey(spark), OPTIONS), OPTIONS), OPTIONS)
+
+
+def test_the_example_by_keys_is_that_by_texts(spark):
+    rows, texts = keyed_rows(spark, False)
+    got = prepare.with_texts(prepare.group_example(rows, OPTIONS), texts).drop(TEXT_KEY)
+    want = prepare.group_example(plain_rows(spark), OPTIONS)
+    assert got.columns == want.columns and got.count() == 4
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_batches_by_keys_are_those_by_texts(spark):
+    rows, texts = keyed_rows(spark, True)
+    keyed = infer.assign_batches(prepare.group_codes(rows, OPTIONS), [BASE_ID, TEXT_ORDER], 2)
+    plain = infer.assign_batches(prepare.group_codes(plain_rows(spark), OPTIONS), [BASE_ID, CLEAN], 2)
+    got = prepare.with_texts(keyed, texts).select(BASE_ID, CLEAN, "batch_id").collect()
+    assert sorted(map(str, got)) == sorted(map(str, plain.select(BASE_ID, CLEAN, "batch_id").collect()))
+
+
+def test_order_and_texts_share_one_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, texts = keyed_rows(spark, True)
+        whole = prepare.with_texts(prepare.with_text_order(texts).select(TEXT_KEY, OBS_KEY, TEXT_ORDER), texts)
+        assert whole.count() == 5
+        rows = whole.collect()  # the plan as it ran
+        plan = whole._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in plan and plan.count("ALTERNATIVA") == 1
+        assert {r[CLEAN] for r in rows} == {"casa robada", "barco perdido", HEAD + "fin", HEAD + "alto"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_merge_takes_texts_that_are_at_hand(spark):
+    original = prepare.with_keys(survey(spark), OPTIONS)
+    reviewed = spark.createDataFrame([("1-0-0-5", True), ("3-0-0-7", False)], f"{ROW_ID} string, MATCH_DELITO boolean")
+    texts = prepare.distinct_texts(survey(spark), "OBS_400A")
+    whole = merge.merge_review(original, reviewed, ["MATCH_DELITO"])
+    apart = merge.merge_review(original, reviewed, ["MATCH_DELITO"], text_col="OBS_400A", texts=texts)
+    assert sorted(map(str, apart.collect())) == sorted(map(str, whole.collect()))
+    assert [r.OBS_400A for r in apart.collect()].count(None) == 1
